@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, common, token_store
+from . import byte_bpe, common, pieces, quality, token_store
 
 END_ID = 2
 
@@ -19,6 +19,14 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.count_tokens(table(spark, sf_dir, "documents"), common.vocabulary("byte_bpe_50k.json"))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.assess(table(spark, sf_dir, "documents")).select("doc_id", *quality.COUNTS, "base_failed", "kept")
+
+
+def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_decode(table(spark, sf_dir, "documents"), common.vocabulary("piece_bpe_32k.model"), digest=True)
+
+
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = token_store.write_store(table(spark, sf_dir, "documents"), common.vocabulary("byte_bpe_50k.json"), END_ID)
     return token_store.read_store(shards)
@@ -26,7 +34,11 @@ def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_quality_rules": op2_quality_rules,
+    "op3_pieces": op3_pieces,
     "op7_token_store": op7_token_store,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_quality_rules": quality.assess_sql(),
+}
