@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, common, pieces, quality, token_store
+from . import byte_bpe, common, pieces, quality, secrets, token_store
 
 END_ID = 2
 
@@ -27,6 +27,10 @@ def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_decode(table(spark, sf_dir, "documents"), common.vocabulary("piece_bpe_32k.model"), digest=True)
 
 
+def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest_columns(secrets.scan(table(spark, sf_dir, "documents")))
+
+
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = token_store.write_store(table(spark, sf_dir, "documents"), common.vocabulary("byte_bpe_50k.json"), END_ID)
     return token_store.read_store(shards)
@@ -36,9 +40,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_quality_rules": op2_quality_rules,
     "op3_pieces": op3_pieces,
+    "op4_secret_scans": op4_secret_scans,
     "op7_token_store": op7_token_store,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_quality_rules": quality.assess_sql(),
+    "op4_secret_scans": secrets.scan_sql(),
 }
