@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, common, pieces, quality, secrets, token_store
+from . import byte_bpe, common, ngram_join, pieces, quality, secrets, token_store
 
 END_ID = 2
 
@@ -36,12 +36,17 @@ def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_store(shards)
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_quality_rules": op2_quality_rules,
     "op3_pieces": op3_pieces,
     "op4_secret_scans": op4_secret_scans,
     "op7_token_store": op7_token_store,
+    "op8_ngram_join": op8_ngram_join,
 }
 
 ORACLE_SQL: dict[str, str] = {
