@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, common, ngram_join, pieces, quality, secrets, token_store
+from . import byte_bpe, common, main_text, neighbours, ngram_join, pieces, quality, secrets, token_store
 
 END_ID = 2
 
@@ -31,6 +31,10 @@ def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest_columns(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"))
+
+
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = token_store.write_store(table(spark, sf_dir, "documents"), common.vocabulary("byte_bpe_50k.json"), END_ID)
     return token_store.read_store(shards)
@@ -40,13 +44,19 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_components(table(spark, sf_dir, "documents"))
 
 
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_quality_rules": op2_quality_rules,
     "op3_pieces": op3_pieces,
     "op4_secret_scans": op4_secret_scans,
+    "op5_neighbours": op5_neighbours,
     "op7_token_store": op7_token_store,
     "op8_ngram_join": op8_ngram_join,
+    "op9_main_text": op9_main_text,
 }
 
 ORACLE_SQL: dict[str, str] = {
