@@ -189,7 +189,8 @@ def search(table: DataFrame, *, key: str = "vec_id", vector: str = "embedding",
     asking = reps.join(owners.select("rep").distinct(), "rep", "left_semi").select("rep", "v")
     asked = asking.mapInArrow(visits, f"{place}, part int, rep long, v {reps.schema['v'].dataType.simpleString()}, cut double")
     asked = asked.withColumn("deal", F.pmod(F.xxhash64("rep"), F.lit(max(1, math.ceil(owners.count() / QUERIES)))))
-    deals = asked.select("t", *names, "part", "deal").distinct()
+    asked = common.stored(asked, "asked")
+    deals = asked.select("t", *names, "part", (F.col("deal") + 0).alias("deal")).distinct()
     dealt = placed.join(blocks, ["t", *names]).withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")).drop("parts")
     dealt = dealt.join(deals, ["t", *names, "part"])
 
