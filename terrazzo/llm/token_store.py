@@ -34,11 +34,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
-from .byte_bpe import chunks
+from .byte_bpe import PRETOKEN, byte_letters, chunks
 
 MAGIC = b"TZIDS\x01\0\0"
 SHARD_IDS = 2_000_000
@@ -131,47 +132,45 @@ class Shard:
 
 
 class Encoder:
-    """The tokenizers library behind a bounded cache of what follows each gap."""
+    """The tokenizers library behind bounded caches.
 
-    def __init__(self, path: str, room: int = 500_000):
+    A text without special strings is cut at its even gaps, which no pretoken
+    crosses. The library's model encodes each distinct pretoken once, for as long as
+    the caches hold it; texts with special strings go to the library whole.
+    """
+
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.library, self.room, self.known = Tokenizer.from_file(path), room, {}
+        self.library = Tokenizer.from_file(path)
+        self.tokenize = self.library.model.tokenize
         self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
-        self.specials = list(self.library.get_added_tokens_decoder().values())
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, f"<u{self.width}").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids as bytes, without the end id.
-
-        A text without special strings is cut at its even gaps, which no pretoken
-        crosses; the library encodes each distinct cut once.
-        """
-        if len(self.known) > self.room:
-            self.known.clear()
-        known, plain, whole = self.known, [], []
-        for i, text in enumerate(texts):
-            if any(s.content in text for s in self.specials):
-                whole.append(i)
-                plain.append(("", []))
-            else:
-                plain.append(chunks(text))
-        new = set().union(*(rest for _, rest in plain)).difference(known)
-        roots = {p[:-1] if p[-1:] in ".,;:!?" and p[:-1].isalpha() else p for p in new}
-        marks = [m for m in ".,;:!?" if " " + m not in known]
-        todo = [r for r in roots if r not in known]
-        for key, ids in zip([*todo, *(" " + m for m in marks)], self.encode([" " + r for r in todo] + marks), strict=True):
-            known[key] = ids
-        for p in new.difference(roots, known):
-            known[p] = known[p[:-1]] + known[" " + p[-1]]
-        firsts = self.encode([first for first, _ in plain])
-        out = [first + b"".join(map(known.__getitem__, rest)) for first, (_, rest) in zip(firsts, plain, strict=True)]
-        for i, ids in zip(whole, self.encode([texts[i] for i in whole]), strict=True):
-            out[i] = ids
-        return out
+        self.packed = [i.to_bytes(self.width, "little") for i in range(self.library.get_vocab_size())]
+        self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.letters = dict(enumerate(byte_letters()))
+        self.find = regex.compile(PRETOKEN).findall
+        self.words = common.Memo(self.encode_pretoken, 100_000)
+        self.after_gap = common.Memo(self.encode_after_gap, 400_000)
+
+    def encode_pretoken(self, word: str) -> bytes:
+        spelt = word.encode().decode("latin-1").translate(self.letters)
+        return b"".join([self.packed[t.id] for t in self.tokenize(spelt)])
+
+    def encode_after_gap(self, part: str) -> bytes:
+        """Ids of a space and `part`; letters alone, or before one mark, need no pattern."""
+        if part.isalpha():
+            return self.encode_pretoken(" " + part)
+        if part[-1:] in ".,;:!?" and part[:-1].isalpha():
+            return self.after_gap[part[:-1]] + self.words[part[-1]]
+        return b"".join(map(self.words.__getitem__, self.find(" " + part)))
+
+    def __call__(self, text: str) -> bytes:
+        """The text's ids as bytes, without the end id."""
+        if any(s in text for s in self.specials):
+            return b"".join([self.packed[i] for i in self.library.encode(text, add_special_tokens=False).ids])
+        first, rest = chunks(text)
+        return b"".join(map(self.words.__getitem__, self.find(first))) + b"".join(map(self.after_gap.__getitem__, rest))
 
 
 @functools.lru_cache(maxsize=2)
@@ -201,14 +200,14 @@ def write_store(docs: DataFrame, vocabulary: str, end_id: int, *, key: str = "do
         at = pa.int64()
         for batch in batches:
             at = batch.schema.field(0).type
-            for own, texts in common.portions(batch, "key", "text"):
-                for k, ids in zip(own, encode([t or "" for t in texts]), strict=True):
-                    keys.append(k)
-                    runs.append(ids + tail)
-                    held += len(ids) // encode.width + 1
-                    if held >= SHARD_IDS:
-                        yield shard(at)
-                        keys, runs, held, done, seq = [], [], 0, done + held, seq + 1
+            for k, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                ids = encode(text.as_py() or "")
+                keys.append(k)
+                runs.append(ids + tail)
+                held += len(ids) // encode.width + 1
+                if held >= SHARD_IDS:
+                    yield shard(at)
+                    keys, runs, held, done, seq = [], [], 0, done + held, seq + 1
         if keys:
             yield shard(at)
 
