@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, common, main_text, neighbours, ngram_join, pieces, quality, secrets, token_store
+from . import byte_bpe, common, main_text, neighbours, ngram_join, pieces, quality, repeats, secrets, token_store
 
 END_ID = 2
 
@@ -35,6 +35,10 @@ def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(table(spark, sf_dir, "embeddings"))
 
 
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = token_store.write_store(table(spark, sf_dir, "documents"), common.vocabulary("byte_bpe_50k.json"), END_ID)
     return token_store.read_store(shards)
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pieces": op3_pieces,
     "op4_secret_scans": op4_secret_scans,
     "op5_neighbours": op5_neighbours,
+    "op6_repeats": op6_repeats,
     "op7_token_store": op7_token_store,
     "op8_ngram_join": op8_ngram_join,
     "op9_main_text": op9_main_text,
