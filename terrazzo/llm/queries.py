@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import byte_bpe, common, main_text, neighbours, ngram_join, pieces, quality, repeats, secrets, token_store
+from . import byte_bpe, common, main_text, mixture, neighbours, ngram_join, pieces, quality, repeats, secrets, token_store
 
 END_ID = 2
 
@@ -52,6 +53,13 @@ def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op10_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.expr(mixture.DOMAIN).alias("domain"))
+    mixed = mixture.mix(table(spark, sf_dir, "documents"), labels, mixture.TARGETS, keep=("source",))
+    shares = [F.col("posterior")[i].alias(f"p_{d}") for i, d in enumerate(mixture.TARGETS)]
+    return mixed.select("doc_id", "source", "n_tokens", *shares, "rate")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_quality_rules": op2_quality_rules,
@@ -62,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_store": op7_token_store,
     "op8_ngram_join": op8_ngram_join,
     "op9_main_text": op9_main_text,
+    "op10_mixture": op10_mixture,
 }
 
 ORACLE_SQL: dict[str, str] = {

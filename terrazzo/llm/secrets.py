@@ -110,7 +110,7 @@ def scan(docs: DataFrame, rules: dict[str, tuple[str, int, int]] = RULES, *, key
     none = "cast(array() as array<struct<start:int,rank:int,kind:string,stop:int>>)"
     parts = [match_spans(k, r) if k in full else f"case when array_contains(found, '{k}') then {match_spans(k, r)} else {none} end" for k, r in rules.items()]
     out = met.withColumn("spans", F.expr(f"array_sort(concat({', '.join(parts)}))"))
-    return out.select(F.col("key").alias(key), *[F.col(f"_rest.{c}").alias(c) for c in keep], "spans")
+    return out.select(F.col("key").alias(key), *[F.col(f"_rest.{c}").alias(c) for c in keep if c != key], "spans")
 
 
 def digest_columns(found: DataFrame) -> DataFrame:
