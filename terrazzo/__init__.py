@@ -1,0 +1 @@
+"""Raster and cartographic analytics on Spark: maps as tables of pixels."""
