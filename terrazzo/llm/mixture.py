@@ -116,7 +116,8 @@ def fit(docs: DataFrame, labels: DataFrame, domains: list[str], key: str, text:
     total = known.count()
     # At most about LABELLED rows of two numbers, whatever the table: a broadcast of bounded size.
     chosen = known.filter(F.pmod(F.xxhash64("label_id"), F.lit(1 << 30)) < int(min(1.0, LABELLED / max(1, total)) * (1 << 30)))
-    rows = docs.join(F.broadcast(chosen), docs[key] == F.col("label_id")).select(F.pmod(F.xxhash64(F.lit("fold"), "label_id"), F.lit(HELD_OUT)).cast("int").alias("fold"), (F.col("domain") - 1).alias("domain"), F.col(text).alias("text"))
+    rows = docs.select(F.col(key).alias("label_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "label_id")
+    rows = rows.select(F.pmod(F.xxhash64(F.lit("fold"), "label_id"), F.lit(HELD_OUT)).cast("int").alias("fold"), (F.col("domain") - 1).alias("domain"), "text")
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
