@@ -41,14 +41,48 @@ def stored(df: DataFrame, label: str = "table") -> DataFrame:
     and every pruned column stays pruned. The files go when the session ends.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/terrazzo/{label}-{uuid.uuid4().hex}"
+    path = shared_path(spark, label)
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shared_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder, deleted when the session ends."""
+    path = f"{shared_dir(spark)}/terrazzo/{label}-{uuid.uuid4().hex}"
+    target, files = hadoop_path(spark, path)
+    files.deleteOnExit(target)
+    return path
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            if "/terrazzo/" in folder:
+                target, files = hadoop_path(spark, folder)
+                files.delete(target, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of jobs that are over; else they stay until the driver's heap fills."""
+    spark.sparkContext._jvm.System.gc()
+
+
+def bucketed(df: DataFrame, key: str, label: str) -> DataFrame:
+    """`stored`, dealt by key into as many buckets as shuffles have partitions: joins on the key don't move it."""
+    spark = df.sparkSession
+    name = f"terrazzo_{label}_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, key).option("path", shared_path(spark, label)).format("parquet").saveAsTable(name)
+    return spark.table(name)
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Bound what one Arrow batch of documents holds in a Python worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

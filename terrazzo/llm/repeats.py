@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,30 +61,52 @@ _UP = powers(_BASE, CHUNK + 1)
 _DOWN = powers(pow(_BASE, -1, 1 << 64), CHUNK + 1)
 
 
-def anchors(data: bytes, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of each run of windows with one anchor: the anchor's hash, and first << 16 | anchor - first << 8 | last - first."""
-    if len(data) < length:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    found, places = [], []
+def anchors(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each run of windows with one anchor: the anchor's hash, the text's index, first << 16 | anchor - first << 8 | last - first."""
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    held: list[tuple[int, int, bytes]] = []
+    size = 0
+    for i, data in enumerate(texts):
+        for begin in range(0, len(data) - length + 1, CHUNK - length + 1):
+            part = data[begin : begin + CHUNK]
+            if held and size + len(part) > CHUNK:
+                found.append(anchors_of(held, length))
+                held, size = [], 0
+            held.append((i, begin, part))
+            size += len(part)
+    if held:
+        found.append(anchors_of(held, length))
+    if not found:
+        return tuple(np.zeros(0, np.int64) for _ in range(3))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def anchors_of(parts: list[tuple[int, int, bytes]], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """`anchors` of parts that fit one chunk, laid end to end; windows across a seam are left out."""
+    data = np.frombuffer(b"".join(p for _, _, p in parts), np.uint8).astype(np.uint64)
+    sizes = np.array([len(p) for _, _, p in parts])
     span = length - GRAM + 1
-    for begin in range(0, len(data) - length + 1, CHUNK - length + 1):
-        part = np.frombuffer(data, np.uint8, min(CHUNK, len(data) - begin), begin).astype(np.uint64)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((part + np.uint64(1)) * _UP[: len(part)], dtype=np.uint64)])
-        hashes = mixed((sums[GRAM:] - sums[:-GRAM]) * _DOWN[: len(part) - GRAM + 1])
-        # top bits of the hash, then the place: the least is the leftmost of the least
-        least = (hashes & np.uint64(_MASK ^ 0xFFFFF)) | np.arange(len(hashes), dtype=np.uint64)
-        width = 1
-        while 2 * width <= span:
-            least = np.minimum(least[:-width], least[width:])
-            width *= 2
-        if width < span:
-            least = np.minimum(least[: len(hashes) - span + 1], least[span - width :])
-        at = (least & np.uint64(0xFFFFF)).astype(np.int64)
-        first = np.concatenate([np.zeros(1, np.int64), np.flatnonzero(np.diff(at)) + 1])
-        last = np.concatenate([first[1:], [len(at)]]) - 1
-        found.append(hashes[at[first]].view(np.int64))
-        places.append((first + begin) << 16 | (at[first] - first) << 8 | (last - first))
-    return np.concatenate(found), np.concatenate(places)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data + np.uint64(1)) * _UP[: len(data)], dtype=np.uint64)])
+    hashes = mixed((sums[GRAM:] - sums[:-GRAM]) * _DOWN[: len(data) - GRAM + 1])
+    # top bits of the hash, then the place: the least is the leftmost of the least
+    least = (hashes & np.uint64(_MASK ^ 0xFFFFF)) | np.arange(len(hashes), dtype=np.uint64)
+    width = 1
+    while 2 * width <= span:
+        least = np.minimum(least[:-width], least[width:])
+        width *= 2
+    if width < span:
+        least = np.minimum(least[: len(hashes) - span + 1], least[span - width :])
+    at = (least & np.uint64(0xFFFFF)).astype(np.int64)
+    ends = np.cumsum(sizes)
+    owner = np.repeat(np.arange(len(parts)), sizes)
+    starts = np.flatnonzero(owner[: len(at)] == owner[length - 1 :])
+    own = at[starts]
+    first = np.concatenate([np.zeros(1, np.int64), np.flatnonzero((np.diff(own) != 0) | (np.diff(starts) != 1)) + 1])
+    last = np.concatenate([first[1:], [len(starts)]]) - 1
+    part = owner[starts[first]]
+    begin = starts[first] - (ends - sizes)[part] + np.array([b for _, b, _ in parts])[part]
+    place = begin << 16 | (own[first] - starts[first]) << 8 | (starts[last] - starts[first])
+    return hashes[own[first]].view(np.int64), np.array([i for i, _, _ in parts])[part], place
 
 
 def repeated_windows(segments: list[bytes], length: int) -> list[np.ndarray]:
@@ -139,27 +162,24 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", length: int = 100, texts: bool = False) -> DataFrame:
     """(key, n_bytes, n_removed, n_spans, kept_sha256[, spans, kept]) of every row."""
-    common.small_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    common.small_batches(spark)
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(key).cast("long").alias("id"), F.xxhash64(body).alias("tie"), F.octet_length(body).alias("size"), body.alias("body"))
     texts_of = rows.filter(F.col("size") >= length)
 
     def list_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ties, sizes, found, places = [], [], [], []
-            for tie, size, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()), strict=True):
-                h, p = anchors(data.as_py(), length)
-                found.append(h)
-                places.append(p)
-                ties.append(np.full(len(h), tie, np.int64))
-                sizes.append(np.full(len(h), size, np.int32))
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (found, ties, sizes, places)], names=["h", "tie", "size", "place"])
-
-    entries = texts_of.select("tie", "size", "body").mapInArrow(list_anchors, "h long, tie long, size int, place long")
+            ties, sizes = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            h, own, place = anchors([x.as_py() for x in batch.column(2).cast(pa.binary())], length)
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(ties[own]), pa.array(sizes[own]), pa.array(place)], names=["h", "tie", "size", "place"])
+
+    entries = common.stored(texts_of.select("tie", "size", "body").mapInArrow(list_anchors, "h long, tie long, size int, place long"), "entries")
     twice = entries.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
     met = entries.join(twice, "h").distinct()  # copies of a text say the same
     met = common.stored(met, "anchors")
+    common.drop(entries)
+    common.release(spark)
     again = met.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
     # The first row of each text stands for it.
     firsts = common.stored(texts_of.groupBy("tie", "size").agg(F.min(F.coalesce("id", F.lit(-(1 << 63)))).alias("first"), F.count("*").alias("n")), "firsts")
@@ -168,29 +188,31 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[] for _ in range(7)]
+            out: list[list] = [[] for _ in range(8)]
             for tie, size, first, places, data in zip(*(batch.column(i).to_pylist() for i in range(4)), batch.column(4).cast(pa.binary()), strict=True):
                 data = data.as_py()
                 for e in places:
                     start, more = e["place"] >> 16, e["place"] & 0xFF
                     segment = data[start : start + more + length]
-                    for column, v in zip(out, (e["h"], hashlib.md5(segment).digest(), segment, first, tie, size, start), strict=True):
+                    for column, v in zip(out, (e["h"], xxhash.xxh3_64_intdigest(segment) - (1 << 63), segment, first, tie, size, start, start + len(segment)), strict=True):
                         column.append(v)
                 if len(out[0]) > 20_000:
                     yield segment_batch(out)
-                    out = [[] for _ in range(7)]
+                    out = [[] for _ in range(8)]
             yield segment_batch(out)
 
     def segment_batch(out):
-        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds, strict=True)], names=["h", "digest", "segment", "first", "tie", "size", "start"])
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds, strict=True)], names=["h", "digest", "segment", "first", "tie", "size", "start", "stop"])
 
     own = first_rows.join(asked.select("tie", "size", "first", "places"), ["tie", "size", "first"]).dropDuplicates(["tie", "size", "first"]).select("tie", "size", "first", "places", "body")
-    segments = common.stored(own.mapInArrow(cut, "h long, digest binary, segment binary, first long, tie long, size int, start long"), "segments")
+    segments = common.stored(own.mapInArrow(cut, "h long, digest long, segment binary, first long, tie long, size int, start long, stop long"), "segments")
+    common.drop(met)
+    common.release(spark)
     place = F.struct("first", "tie", "start")
     leaders = common.stored(segments.groupBy("h", "digest").agg(F.min(place).alias("lead"), F.count("*").alias("copies")), "leaders")
-    later = segments.join(leaders, ["h", "digest"]).filter("not (first = lead.first and tie = lead.tie and start = lead.start)")
-    whole = later.select("tie", "size", F.col("start").alias("a"), (F.col("start") + F.octet_length("segment")).alias("b"))
+    later = segments.drop("segment").join(leaders, ["h", "digest"]).filter("not (first = lead.first and tie = lead.tie and start = lead.start)")
+    whole = later.select("tie", "size", F.col("start").alias("a"), F.col("stop").alias("b"))
     groups = leaders.groupBy("h").agg(F.count("*").alias("members")).filter("members > 1")
     leading = segments.join(leaders.join(groups, "h"), ["h", "digest"]).filter("first = lead.first and tie = lead.tie and start = lead.start").select("h", "segment", "first", "tie", "size", "start", "members")
 
@@ -236,7 +258,9 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     crowded = leading.filter(F.col("members") > LARGEST).select("segment", "first", "tie", "size", "start").mapInArrow(windows, "window binary, first long, tie long, size int, start long")
     earliest = crowded.groupBy("window").agg(F.min(place).alias("lead"))
     single = crowded.join(earliest, "window").filter("not (first = lead.first and tie = lead.tie and start = lead.start)").select("tie", "size", F.col("start").alias("a"), (F.col("start") + length).alias("b"))
-    spans = whole.union(partly).union(single).groupBy("tie", "size").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+    spans = common.stored(whole.union(partly).union(single).groupBy("tie", "size").agg(F.collect_list(F.struct("a", "b")).alias("spans")), "spans")
+    common.drop(segments, leaders)
+    common.release(spark)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
