@@ -4,7 +4,8 @@ A rectangular sum, minimum or maximum separates by axis, so a frame of 2 r + 1 c
 in a row and one in a column give the same as (2 r + 1)^2 neighbours, at a cost that
 follows the number of cells. A window holds one row or column of one map. Borders
 are mirrored first where a mean needs them: with the edge (…cb|abc…) or without it
-(…dcb|abcd…).
+(…dcb|abcd…). Means and grey closings need a row for every cell of the grid
+(`dense` adds those that are missing); masks don't.
 """
 
 from __future__ import annotations
@@ -30,6 +31,11 @@ def mirrored(cells: DataFrame, height: int, width: int, reach: int, *, edge: boo
     return along(along(cells, "y", height), "x", width)
 
 
+def dense(cells: DataFrame, grid: DataFrame, fill: dict[str, float]) -> DataFrame:
+    """Every cell of the grid, with `fill` where a cell has no row."""
+    return grid.join(cells, CELL, "left").fillna(fill)
+
+
 def frames(cells: DataFrame, reach: int, steps: dict[str, tuple[Column, Callable[[Column], Column]]], by: list[str] | None = None) -> DataFrame:
     """Adds a column a step: an aggregate over the square of side 2 reach + 1, done by rows, then by columns."""
     parts = by or []

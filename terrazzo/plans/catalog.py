@@ -14,8 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import colour, coordinates, values
-from ..operators import audits, classify, completion, fits, lineage, ordered, overlay, ramps, regions, tiles
+from ..operators import audits, classify, completion, fits, lineage, ordered, overlay, polygons, ramps, regions, stencils, tiles, words
 from ..sources import rasters
+from ..streaming import logs
+from . import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -510,3 +512,86 @@ def median_translation(spark, sf_dir):
 def degree_labels(spark, sf_dir):
     t = table(spark, sf_dir, "events").select("event_id", F.concat((F.col("event_id") % 460).cast("string"), F.lit("° "), F.element_at(F.array(*map(F.lit, "NWES")), (F.col("event_id") % 4 + 1).cast("int"))).alias("text"))
     return t.select("event_id", values.degree_label(F.col("text"), 180).alias("degrees"))
+
+
+_MIRROR = lambda v: f"case when {v} < 0 then -({v}) when {v} > {SIZE - 1} then {2 * SIZE - 2} - ({v}) else {v} end"
+
+
+DENSE = f"{PX}, dense as (select (i // {SIZE})::int as y, (i % {SIZE})::int as x, coalesce(r, 0) as r from range({SIZE * SIZE}) t(i) left join px on px.y = i // {SIZE} and px.x = i % {SIZE})"
+
+
+def dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stencils.dense(px(spark, sf_dir), rasters.grid(spark, SIZE, SIZE), {"r": 0}).select("y", "x", "r")
+
+
+@query("texture_moments", f"with {DENSE}, n as (select p.y, p.x, q.r::double as r from dense p, range(-2, 3) a(i), range(-2, 3) b(i), dense q where q.y = {_MIRROR('p.y + a.i')} and q.x = {_MIRROR('p.x + b.i')}) select y, x, round(avg(r), 6) as mean, round(sqrt(greatest(avg(r * r) - avg(r) * avg(r), 0)), 4) as deviation from n group by y, x")
+def texture_moments(spark, sf_dir):
+    m = stencils.box_moments(dense(spark, sf_dir), ["r"], 2, SIZE, SIZE)
+    return m.select("y", "x", F.round("r_mean", 6).alias("mean"), F.round("r_std", 4).alias("deviation"))
+
+
+@query("black_hat", f"with {DENSE}, d as (select p.y, p.x, p.r, max(q.r) as d from dense p join dense q on abs(p.y - q.y) <= 2 and abs(p.x - q.x) <= 2 group by p.y, p.x, p.r), c as (select p.y, p.x, p.r, min(q.d) as c from d p join d q on abs(p.y - q.y) <= 2 and abs(p.x - q.x) <= 2 group by p.y, p.x, p.r) select y, x, c - r as black_hat from c where c - r >= 20")
+def black_hat(spark, sf_dir):
+    return stencils.black_hat(dense(spark, sf_dir), "r", 2).filter("black_hat >= 20").select("y", "x", "black_hat")
+
+
+@query("roundtrip_domain", f"with {CLS}, k as (select y, x, case when r > 60 then 1 else 2 end as class_id from cls) select a.y, a.x, a.class_id from k a join k b on abs(a.y - b.y) <= 1 and abs(a.x - b.x) <= 1 group by a.y, a.x, a.class_id having count(*) = 9 and min(b.class_id) = max(b.class_id)")
+def roundtrip_domain(spark, sf_dir):
+    k = cls(spark, sf_dir).withColumn("class_id", F.expr("case when r > 60 then 1 else 2 end"))
+    return stencils.pure(k, "class_id", 1)
+
+
+_RINGS = [("a", 0, [(5.2, 4.1), (60.7, 10.3), (80.9, 70.2), (30.4, 88.8)]), ("a", 1, [(30.3, 30.6), (50.1, 32.2), (40.8, 55.5)]), ("b", 0, [(70.2, 5.5), (90.6, 8.1), (85.3, 40.7)])]
+_EDGES = ", ".join(f"('{k}', {x0}, {y0}, {x1}, {y1})" for k, _, pts in _RINGS for (x0, y0), (x1, y1) in zip(pts, pts[1:] + pts[:1], strict=True))
+
+
+@query("polygon_cells", f"with e(polygon, x0, y0, x1, y1) as (values {_EDGES}), g as (select (i // {SIZE})::int as y, (i % {SIZE})::int as x from range({SIZE * SIZE}) t(i)), c as (select polygon, y, x, count(*) as n from g join e on (least(y0, y1) <= y + 0.5 and y + 0.5 < greatest(y0, y1)) and x0 + (y + 0.5 - y0) * (x1 - x0) / (y1 - y0) <= x + 0.5 group by polygon, y, x) select polygon, y, x from c where n % 2 = 1")
+def polygon_cells(spark, sf_dir):
+    points = [(k, n, i, px_, py) for k, n, pts in _RINGS for i, (px_, py) in enumerate(pts)]
+    return polygons.rasterise(spark.createDataFrame(points, "polygon string, ring int, at int, px double, py double"), SIZE, SIZE)
+
+
+@query("retained_components", None)
+def retained_components(spark, sf_dir):
+    return regions.retain(regions.components(px(spark, sf_dir).filter("r > 60").select("y", "x"), 4), minimum_area=3, maximum_components=5)
+
+
+@query("accepted_words", "select doc_id, conf, angles from (select doc_id, (n_chars % 100)::double as conf, doc_id % 4 as angles from documents) where conf >= 65 or (conf >= 42 and angles >= 2)")
+def accepted_words(spark, sf_dir):
+    w = table(spark, sf_dir, "documents").select("doc_id", (F.col("n_chars") % 100).cast("double").alias("conf"), (F.col("doc_id") % 4).alias("angles"))
+    return words.accepted(w)
+
+
+@query("falling_columns", None)
+def falling_columns(spark, sf_dir):
+    w = table(spark, sf_dir, "events").select(F.col("event_type").alias("page"), (F.col("event_id") % 5 * 20).cast("int").alias("left"), F.col("event_id").cast("int").alias("top"), F.lit(8).alias("width"), F.lit(6).alias("height"), F.round("value", 2).cast("string").alias("text"))
+    return words.falling_column(w, "page").select("page", "n", "first", "last")
+
+
+@query("greedy_words", None)
+def greedy_words(spark, sf_dir):
+    w = table(spark, sf_dir, "documents").select(F.col("source").alias("page"), F.col("lang").alias("text"), (F.col("n_chars") % 90).cast("int").alias("left"), (F.col("doc_id") % 70).cast("int").alias("top"), "doc_id")
+    return words.greedy(w, "page", ["-doc_id"], words.same_word(14))
+
+
+@query("log_state", "with e as (select conv_id as map, turn as attempt, case when turn % 2 = 0 then 'alignment' else 'extraction' end as phase, length(text) > 40 as ok from conversations), a as (select map, count(distinct attempt) as attempts, count(distinct case when ok then phase end) as phases from e group by map) select map, attempts, phases, case when phases = 2 then 'complete' else 'open' end as status from a")
+def log_state(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations")
+    e = c.select(F.col("conv_id").alias("map"), F.col("turn").alias("attempt"), F.when(F.col("turn") % 2 == 0, "alignment").otherwise("extraction").alias("phase"), F.create_map(F.lit("long"), F.length("text") > 40).alias("gates"), F.lit("accept").alias("decision"))
+    return logs.state(e).select("map", "attempts", F.size("phases").cast("long").alias("phases"), "status")
+
+
+_PLAN = {
+    "layers": [
+        {"id": "zones", "kind": "categorical", "legend": [{"rgb": list(rgb)} for _, rgb in LEGEND], "max_distance": 60.0, "min_margin": 2.0},
+        {"id": "greys", "kind": "grayscale_categorical", "legend": [{"gray": 60}, {"gray": 150}], "max_distance": 40.0, "max_chroma": 40, "exclude_layers": ["zones"]},
+        {"id": "ink", "kind": "feature_ink", "low": [85, 60, 55], "high": [140, 255, 255]},
+    ]
+}
+
+
+@query("plan_layers", None)
+def plan_layers(spark, sf_dir):
+    out = documents.compile_plan(_PLAN, px(spark, sf_dir))
+    parts = [d.groupBy("class_id").agg(F.count("*").alias("n")).withColumn("layer", F.lit(k)) for k, d in out.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

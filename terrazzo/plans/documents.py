@@ -38,8 +38,18 @@ def legend_of(layer: dict) -> list[classify.Prototype]:
 
 
 def in_lab(pixels: DataFrame) -> DataFrame:
-    light, a, b = colour.lab8(F.col("r"), F.col("g"), F.col("b"))
-    return pixels.withColumns({"lab_l": light, "lab_a": a, "lab_b": b})
+    """Adds Lab columns.
+
+    The conversion is bound to a name by a one-element transform, so that distances to
+    many prototypes read it instead of each repeating it in generated code.
+    """
+
+    def convert(c):
+        light, a, b = colour.lab8(c["r"], c["g"], c["b"])
+        return F.struct(light.alias("l"), a.alias("a"), b.alias("b"))
+
+    one = pixels.withColumn("_lab", F.explode(F.transform(F.array(F.struct("r", "g", "b")), convert)))
+    return one.withColumns({f"lab_{c}": F.col(f"_lab.{c}") for c in "lab"}).drop("_lab")
 
 
 def lab_prototypes(pixels: DataFrame, layer: dict) -> list[classify.Prototype]:
