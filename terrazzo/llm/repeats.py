@@ -210,9 +210,10 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     common.drop(met)
     common.release(spark)
     place = F.struct("first", "tie", "start")
-    leaders = common.stored(segments.groupBy("h", "digest").agg(F.min(place).alias("lead"), F.count("*").alias("copies")), "leaders")
+    leaders = common.stored(segments.groupBy("h", "digest").agg(F.min(place).alias("lead")), "leaders")
     later = segments.drop("segment").join(leaders, ["h", "digest"]).filter("not (first = lead.first and tie = lead.tie and start = lead.start)")
-    whole = later.select("tie", "size", F.col("start").alias("a"), F.col("stop").alias("b"))
+    whole = common.stored(later.select("tie", "size", F.col("start").alias("a"), F.col("stop").alias("b")), "whole")
+    common.release(spark)
     groups = leaders.groupBy("h").agg(F.count("*").alias("members")).filter("members > 1")
     leading = segments.join(leaders.join(groups, "h"), ["h", "digest"]).filter("first = lead.first and tie = lead.tie and start = lead.start").select("h", "segment", "first", "tie", "size", "start", "members")
 
