@@ -80,7 +80,9 @@ def bucketed(df: DataFrame, key: str, label: str) -> DataFrame:
     name = f"terrazzo_{label}_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     df.write.bucketBy(buckets, key).option("path", shared_path(spark, label)).format("parquet").saveAsTable(name)
-    return spark.table(name)
+    out = spark.table(name)
+    out.terrazzo_name = name
+    return out
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:

@@ -15,11 +15,12 @@ The boundary is the size from which listing subsets costs more than scanning
 lists; both costs come from a sample, as does the order. Neither changes the
 result: any order and any boundary give the same links.
 
-A list is not multiplied out. Each list compares its members with one leader;
-links merge components; lists whose members are in one component are done. Two
+A list is not multiplied out. Lists are split by size bands, so that members can
+link by size. Each list compares its members with one leader;
+links merge components; lists whose members are in one component are done. Three
 such rounds are followed by an exact one: members outside a list's main component
 meet all others that are still in another component, within the join condition of
-which a 256-bit parity sketch gives a lower bound on the symmetric difference.
+which a 1024-bit parity sketch gives a lower bound on the symmetric difference.
 Every pair that meets is checked on the full sets. So a group of near copies
 costs rows in proportion to its members, and no link that matters for a component
 is lost.
@@ -52,7 +53,8 @@ SAMPLE = 8192
 FREQUENT = 8
 #: Subsets are listed for sizes below this at most, whatever the costs.
 LARGEST_LIGHT = 40
-SKETCH_WORDS = 4
+MEETING, CHECKING = 0.25, 64
+SKETCH_WORDS = 16
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
@@ -90,11 +92,6 @@ def prefix_size(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def subset_cost(s: int, percent: int) -> int:
-    """Subsets that a set of s lists."""
-    return sum(math.comb(s, o) for t in partners(s, percent) if (o := overlap(s, t, percent)) <= s)
-
-
 def subset_keys(sets: np.ndarray, boundary: int, percent: int) -> list[tuple[int, int]]:
     """(key, size of the smaller set) for every fixed-size subset, as sums of mixed hashes."""
     s = len(sets)
@@ -139,21 +136,42 @@ def plan(docs: DataFrame, key: str, text: str, width: int, percent: int) -> Plan
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for (texts,) in common.portions(batch, "text", limit=1 << 23):
-                found, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *(shingles(t, width) for t in texts)]), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
-
-    counts = common.stored(chosen.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "sample")
-    row = counts.filter(F.col("n") < FREQUENT).agg(F.sum("n").alias("s"), F.sum(F.col("n") * F.col("n")).alias("q")).first()
-    # At most SAMPLE x mean set size / FREQUENT rows: no larger with more data.
-    often = counts.filter(F.col("n") >= FREQUENT).toPandas()
+                sets = [shingles(t, width) for t in texts]
+                found, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_counts=True)
+                sizes, m = np.unique([len(s) for s in sets], return_counts=True)
+                kinds = np.concatenate([np.zeros(len(found), np.int32), np.ones(len(sizes), np.int32)])
+                yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(np.concatenate([found.view(np.int64), sizes])), pa.array(np.concatenate([n, m]))], names=["kind", "h", "n"])
+
+    counts = common.stored(chosen.mapInArrow(run, "kind int, h long, n long").groupBy("kind", "h").agg(F.sum("n").alias("n")), "sample")
+    rare = counts.filter((F.col("kind") == 0) & (F.col("n") < FREQUENT)).agg(F.sum("n").alias("s"), F.sum(F.col("n") * F.col("n")).alias("q")).first()
+    # At most SAMPLE x mean set size / FREQUENT rows, and as many as sizes below LARGEST_LIGHT: no larger with more data.
+    often = counts.filter((F.col("kind") == 0) & (F.col("n") >= FREQUENT)).toPandas()
+    sizes = {r["h"]: r["n"] for r in counts.filter((F.col("kind") == 1) & (F.col("h") <= 2 * LARGEST_LIGHT)).collect()}
+    common.drop(counts)
     order = np.argsort(often["h"].to_numpy(np.int64).view(np.uint64))
-    met = ((row["q"] / row["s"] - 1) / max(part, 1e-9)) if row["s"] else 0.0  # others on the list of a random entry
+    met = ((rare["q"] / rare["s"] - 1) / max(part, 1e-9)) if rare["s"] else 0.0  # others on the list of a random entry
+    boundary = cheapest_boundary(sizes, met, percent)
+    return Plan(often["h"].to_numpy(np.int64).view(np.uint64)[order], often["n"].to_numpy(np.int64)[order], boundary)
 
-    def scan_cost(s: int) -> float:
-        return prefix_size(s, percent) * (1 + met + met * s / 8)
 
-    boundary = next((s for s in range(1, LARGEST_LIGHT) if subset_cost(s, percent) > scan_cost(s)), LARGEST_LIGHT)
-    return Plan(often["h"].to_numpy(np.int64).view(np.uint64)[order], often["n"].to_numpy(np.int64)[order], boundary)
+def cheapest_boundary(sizes: dict[int, int], met: float, percent: int) -> int:
+    """The size below which sets list subsets, from counts of sizes and the others that a list's entry meets.
+
+    A listed subset and a list's entry are one moved row each; a member that is met
+    costs MEETING rows, and its full check a row for every CHECKING elements.
+    """
+
+    def listed(s: int, boundary: int) -> int:
+        return sum(math.comb(s, o) for t in partners(s, percent) if min(s, t) < boundary and (o := overlap(s, t, percent)) <= s)
+
+    def scanned(s: int) -> float:
+        return prefix_size(s, percent) * (1 + met * (MEETING + s / CHECKING))
+
+    def cost(boundary: int) -> float:
+        top = 100 * boundary // percent + 1
+        return sum(n * ((listed(s, boundary) if s <= top else 0) + (scanned(s) if s >= boundary else 0)) for s, n in sizes.items() if s)
+
+    return min(range(1, LARGEST_LIGHT + 1), key=cost)
 
 
 def describe(docs: DataFrame, key: str, text: str, width: int, percent: int, how: Plan) -> DataFrame:
@@ -211,15 +229,27 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return two.select("a", "b", F.size("x").alias("s"), F.size("y").alias("t"), common_size.alias("i")).filter(f"100 * i >= {percent} * (s + t - i)").select("a", "b").distinct()
 
 
+def same_size(a: str, b: str, percent: int) -> str:
+    return f"100 * least({a}.n, {b}.n) >= {percent} * greatest({a}.n, {b}.n)"
+
+
 def led(lists: DataFrame, seed: int, percent: int) -> DataFrame:
     """Each list's members against one member, its leader."""
-    heads = lists.groupBy("h", "band").agg(F.min(F.struct(F.xxhash64(F.lit(seed), "node").alias("at"), "node", "n", "sketch", "component")).alias("head"))
-    pairs = lists.alias("m").join(heads.alias("l"), ["h", "band"]).filter("m.component <> l.head.component").filter(may_link("m", "l.head", percent))
+    heads = lists.groupBy("h", "band").agg(F.min(F.struct(F.xxhash64(F.lit(seed), "node").alias("at"), "node", "n", "component")).alias("head"))
+    pairs = lists.alias("m").join(heads.alias("l"), ["h", "band"]).filter("m.component <> l.head.component").filter(same_size("m", "l.head", percent))
     return pairs.select(F.col("m.node").alias("a"), F.col("l.head.node").alias("b")).distinct()
 
 
-def rest(lists: DataFrame, percent: int) -> DataFrame:
+def sketched(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs that the sketches of both allow to link."""
+    one = pairs.join(sketches.select(F.col("node").alias("a"), F.struct("n", "sketch").alias("x")), "a")
+    two = one.join(sketches.select(F.col("node").alias("b"), F.struct("n", "sketch").alias("y")), "b")
+    return two.filter(may_link("x", "y", percent)).select("a", "b")
+
+
+def rest(lists: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """Members outside a list's main component against all members of other components."""
+    lists = common.stored(lists.join(sketches.select("node", "sketch"), "node"), "rest")
     sizes = lists.groupBy("h", "band", "component").agg(F.count("*").alias("c"))
     main = sizes.groupBy("h", "band").agg(F.max(F.struct("c", "component")).getField("component").alias("main"))
     few = lists.join(main, ["h", "band"]).filter("component <> main")
@@ -227,6 +257,51 @@ def rest(lists: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.col("m.node").alias("a"), F.col("l.node").alias("b")).distinct()
 
 
+def of_two(lists: DataFrame) -> DataFrame:
+    """Lists whose members are in two components or more."""
+    several = lists.groupBy("h", "band").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("h", "band")
+    return lists.join(several, ["h", "band"])
+
+
+def unlike(lists: DataFrame) -> DataFrame:
+    """Lists of two or more, one of those with the same members: a near copy shares most of its lists.
+
+    Members are told by their count and two sums of 31-bit hashes.
+    """
+    code = F.xxhash64("node")
+    sums = lists.groupBy("h", "band").agg(F.count("*").alias("c"), F.sum(code.bitwiseAND(F.lit(0x7FFFFFFF))).alias("s"), F.sum(F.shiftrightunsigned(code, 33)).alias("t")).filter("c > 1")
+    one = sums.groupBy("c", "s", "t").agg(F.min(F.struct("h", "band")).alias("one")).select("one.h", "one.band")
+    return lists.join(one, ["h", "band"])
+
+
+class FullSets:
+    """Full sets of the nodes that pairs name, read from the texts once for each."""
+
+    def __init__(self, docs: DataFrame, key: str, text: str, width: int):
+        self.docs, self.key, self.text, self.width = docs, key, text, width
+        self.tables: list[DataFrame] = []
+
+    def linked(self, pairs: DataFrame, percent: int) -> DataFrame:
+        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        for known in self.tables:
+            wanted = wanted.join(known.select("node"), "node", "left_anti")
+        wanted = common.stored(wanted, "wanted")
+        if not wanted.isEmpty():
+            self.tables.append(common.bucketed(full_sets(self.docs, wanted, self.key, self.text, self.width), "node", "elements"))
+            common.release(self.docs.sparkSession)
+        sets = self.tables[0]
+        for other in self.tables[1:]:
+            sets = sets.unionByName(other)
+        return linked(pairs, sets, percent)
+
+    def close(self) -> None:
+        """Forget the tables and delete their files."""
+        common.drop(*self.tables)
+        for table in self.tables:
+            table.sparkSession.sql(f"DROP TABLE IF EXISTS {table.terrazzo_name}")
+        self.tables = []
+
+
 def join_components(docs: DataFrame, *, key: str = "doc_id", text: str = "text", width: int = 3, percent: int = 90) -> DataFrame:
     """(key, n_shingles, component_id) of every row: links are Jaccard >= percent / 100 on word shingles."""
     spark = docs.sparkSession
@@ -242,28 +317,38 @@ def join_components(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     entries = nodes.select("node", "n", F.explode("prefix").alias("h"))
     repeated = entries.groupBy("h").agg(F.count("*").alias("c")).filter("c > 1").select("h")
     base = 1.000001 * math.log(100 / percent)
-    short = entries.join(repeated, "h").join(nodes.select("node", "n", "sketch").distinct(), ["node", "n"])
     bands = F.floor(F.log(F.col("n")) / base)
-    lists = common.stored(short.select("h", "node", "n", "sketch", F.explode(F.array(bands, bands + 1)).alias("band")), "lists")
+    short = entries.join(repeated, "h").select("h", "node", "n", F.explode(F.array(bands, bands + 1)).alias("band"))
+    short = common.stored(short.withColumn("component", F.col("node")), "short")
+    common.release(spark)
+    lists = common.stored(unlike(short), "lists")
+    common.drop(short)
+    common.release(spark)
+    sketches = nodes.select("node", "n", "sketch")
     # Equal subsets of a light set: all meet a member of the smaller size.
     keyed = nodes.select("node", "n", F.explode("subsets").alias("e")).select("node", "n", F.col("e.h").alias("h"), F.col("e.small").alias("small"))
     heads = keyed.groupBy("h", "small").agg(F.min(F.when(F.col("n") == F.col("small"), F.col("node"))).alias("head"), F.count("*").alias("c")).filter("c > 1 and head is not null")
-    light = common.stored(keyed.join(heads, ["h", "small"]).filter("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct(), "light")
-
-    wanted = lists.select("node").union(light.select("a")).union(light.select("b")).distinct()
-    sets = common.stored(full_sets(docs, wanted, key, text, width), "elements")
+    light = keyed.join(heads, ["h", "small"]).filter("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
+    pairs = common.stored(sketched(led(lists, 1, percent).union(light).distinct(), sketches, percent), "pairs")
+    common.release(spark)
+    sets = FullSets(docs, key, text, width)
     # Rows that share an id are one document.
     copies = table.filter("n > 0 and key is not null").select("key", "sig").join(nodes.select("sig", "node"), "sig").select("key", "node")
     same_id = copies.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").select("a", "b")
-    links = common.stored(linked(light, sets, percent).union(same_id), "links")
+    links = common.stored((sets.linked(pairs, percent) if not pairs.isEmpty() else pairs).union(same_id), "links")
     found = components(links)
-    for seed in (1, 2, 0):
-        known = lists.join(found.withColumnRenamed("component", "c"), "node", "left").select("h", "band", "node", "n", "sketch", F.coalesce("c", "node").alias("component"))
-        several = known.groupBy("h", "band").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("h", "band")
-        open_lists = common.stored(known.join(several, ["h", "band"]), "open")
-        pairs = led(open_lists, seed, percent) if seed else rest(open_lists, percent)
-        links = common.stored(linked(pairs, sets, percent), "links")
-        found = common.stored(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(links)), "found")
+    for seed in (2, 3, 0):
+        # A list that is in one component stays so: each round goes on with the open ones.
+        known = lists.select("h", "band", "node", "n").join(found.withColumnRenamed("component", "c"), "node", "left")
+        lists = common.stored(of_two(known.select("h", "band", "node", "n", F.coalesce("c", "node").alias("component"))), "open")
+        pairs = common.stored(sketched(led(lists, seed, percent), sketches, percent) if seed else rest(lists, sketches, percent), "pairs")
+        if pairs.isEmpty():
+            continue
+        links = common.stored(sets.linked(pairs, percent), "links")
+        common.release(spark)
+        if not links.isEmpty():
+            found = common.stored(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(links)), "found")
+    sets.close()
     own = table.select("key", "n", "sig").join(nodes.select("sig", "node"), "sig", "left").join(found, "node", "left")
     out = own.select(F.col("key").alias(key), F.col("n").cast("long").alias("n_shingles"), F.when(F.col("key").isNotNull(), F.coalesce("component", "node", "key")).alias("component_id"))
     return out
