@@ -184,6 +184,9 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     # The first row of each text stands for it.
     firsts = common.stored(texts_of.groupBy("tie", "size").agg(F.min(F.coalesce("id", F.lit(-(1 << 63)))).alias("first"), F.count("*").alias("n")), "firsts")
     asked = met.join(again, "h").groupBy("tie", "size").agg(F.collect_list(F.struct("h", "place")).alias("places")).join(firsts, ["tie", "size"])
+    asked = common.stored(asked.select("tie", "size", "first", "places"), "asked")
+    common.drop(met)
+    common.release(spark)
     first_rows = texts_of.withColumn("first", F.coalesce("id", F.lit(-(1 << 63))))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,7 +210,7 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
 
     own = first_rows.join(asked.select("tie", "size", "first", "places"), ["tie", "size", "first"]).dropDuplicates(["tie", "size", "first"]).select("tie", "size", "first", "places", "body")
     segments = common.stored(own.mapInArrow(cut, "h long, digest long, segment binary, first long, tie long, size int, start long, stop long"), "segments")
-    common.drop(met)
+    common.drop(asked)
     common.release(spark)
     place = F.struct("first", "tie", "start")
     leaders = common.stored(segments.groupBy("h", "digest").agg(F.min(place).alias("lead")), "leaders")
