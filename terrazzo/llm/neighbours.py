@@ -220,8 +220,8 @@ def search(table: DataFrame, *, key: str = "vec_id", vector: str = "embedding",
                 found = found[np.argpartition(-(x[found] @ q[k]), 3 * top)[: 3 * top + 1]]
             score = (x[found] * q[k]).sum(1)
             pick = np.lexsort((ids[found], -score))[: top + 1]
-            out.append(pd.DataFrame({"query": queries[k], "rep": ids[found[pick]], "score": score[pick]}))
-        return pd.concat(out) if out else none
+            out.append((np.full(len(pick), queries[k]), ids[found[pick]], score[pick]))
+        return pd.DataFrame(dict(zip(("query", "rep", "score"), map(np.concatenate, zip(*out, strict=True)), strict=True)))
 
     keys = ["t", *names, "part", "deal"]
     near = dealt.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(best, "query long, rep long, score double").groupBy("query", "rep").agg(F.max("score").alias("score"))
