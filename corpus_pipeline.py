@@ -22,8 +22,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each component of 90 percent alike shingle sets; those without words all stay."""
-    classes = ngram_join.join_components(docs)
+    """The first document of each component of five-word shingle sets alike by 0.8 or more; those without words all stay."""
+    classes = ngram_join.join_components(docs, width=5, percent=80)
     keys = classes.filter("doc_id is null or doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
     return docs.join(keys, docs["doc_id"].eqNullSafe(F.col("kept_id")), "left_semi").select(*COLUMNS)
 
