@@ -179,7 +179,7 @@ def encoder(path: str) -> Encoder:
 
 
 def write_store(docs: DataFrame, vocabulary: str, end_id: int, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Encode, write and return the shard table: (part, seq, part_start, keys, image)."""
+    """Encode, write and return the shard table: (part, seq, part_start, ids, keys, image)."""
     spark = docs.sparkSession
     common.small_batches(spark)
     kind = docs.schema[key].dataType.simpleString()
@@ -193,8 +193,8 @@ def write_store(docs: DataFrame, vocabulary: str, end_id: int, *, key: str = "do
 
         def shard(kind):
             return pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([done], pa.int64()), pa.array([keys], pa.list_(kind)), pa.array([pack_shard(runs, encode.width)], pa.binary())],
-                names=["part", "seq", "part_start", "keys", "image"],
+                [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([done], pa.int64()), pa.array([held], pa.int64()), pa.array([keys], pa.list_(kind)), pa.array([pack_shard(runs, encode.width)], pa.binary())],
+                names=["part", "seq", "part_start", "ids", "keys", "image"],
             )
 
         at = pa.int64()
@@ -213,7 +213,7 @@ def write_store(docs: DataFrame, vocabulary: str, end_id: int, *, key: str = "do
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     dealt = rows.repartitionByRange("key").sortWithinPartitions("key", "text")
-    shards = dealt.mapInArrow(run, f"part int, seq int, part_start long, keys array<{kind}>, image binary")
+    shards = dealt.mapInArrow(run, f"part int, seq int, part_start long, ids long, keys array<{kind}>, image binary")
     return common.stored(shards, "shards")
 
 
@@ -221,8 +221,7 @@ def read_store(shards: DataFrame, *, key: str = "doc_id") -> DataFrame:
     """(key, start, n_tokens, ids_crc32) of every document in the shard table."""
     kind = shards.schema["keys"].dataType.elementType.simpleString()
     # One row per partition: ids before it. The last shard of a part holds its total.
-    size = F.expr("cast(conv(hex(reverse(substring(image, 17, 8))), 16, 10) as bigint)")
-    parts = shards.groupBy("part").agg(F.max(F.col("part_start") + size).alias("total"))
+    parts = shards.groupBy("part").agg(F.max(F.col("part_start") + F.col("ids")).alias("total"))
     offsets = parts.select("part", (F.sum("total").over(Window.orderBy("part")) - F.col("total")).alias("before"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -76,6 +76,21 @@ def test_store_reads_back_what_the_library_gives(spark, docs):
     assert token_store.read_store(token_store.write_store(docs.limit(0), common.vocabulary("byte_bpe_50k.json"), 2)).count() == 0
 
 
+def test_starts_follow_totals_of_any_bytes(spark):
+    """Four parts of 195 ids (0xC3, the first byte of a two-byte character) each."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = spark.createDataFrame([(i, " a" * 194) for i in range(4)], "doc_id long, text string")
+        shards = token_store.write_store(rows, common.vocabulary("byte_bpe_50k.json"), 2)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    images = shards.select("part", "image").collect()
+    assert len({r.part for r in images}) > 2
+    assert any(token_store.Shard(bytes(r.image)).total & 0xFF >= 0xC2 for r in images if r.part < max(x.part for x in images))
+    got = sorted((r.doc_id, r.start, r.n_tokens) for r in token_store.read_store(shards).collect())
+    assert got == [(i, 195 * i, 195) for i in range(4)]
+
+
 def test_prefix_table_equals_the_library():
     import sentencepiece
 
