@@ -332,9 +332,10 @@ def join_components(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     pairs = common.stored(sketched(led(lists, 1, percent).union(light).distinct(), sketches, percent), "pairs")
     common.release(spark)
     sets = FullSets(docs, key, text, width)
-    # Rows that share an id are one document.
+    # Rows that share an id are one document: each of its nodes links with the least.
     copies = table.filter("n > 0 and key is not null").select("key", "sig").join(nodes.select("sig", "node"), "sig").select("key", "node")
-    same_id = copies.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").select("a", "b")
+    several = copies.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").select("key", "a")
+    same_id = copies.join(several, "key").filter("node <> a").select("a", F.col("node").alias("b")).distinct()
     links = common.stored((sets.linked(pairs, percent) if not pairs.isEmpty() else pairs).union(same_id), "links")
     found = components(links)
     for seed in (2, 3, 0):

@@ -73,6 +73,15 @@ def test_components_match_brute_force(spark, monkeypatch, frequent, largest):
     assert all(sizes[i] == len(word_sets(t)) for i, t in rows)
 
 
+def test_an_id_with_three_texts_links_by_each(spark):
+    rng = random.Random(9)
+    one, two, own = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(30)) for _ in range(3))
+    rows = [(2, one), (3, two), (5, one), (5, two), (5, own), (7, own), (8, "apart from all of them")]
+    got = ngram_join.join_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = brute_components(rows)
+    assert {r.doc_id: r.component_id for r in got} == want == {2: 2, 3: 2, 5: 2, 7: 2, 8: 8}
+
+
 def test_empty_table_joins_nothing(spark):
     assert ngram_join.join_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
