@@ -102,15 +102,15 @@ def consensus(words: DataFrame, *, page: str, reach: float, turn: float) -> Data
     return near.groupBy(page, "id").agg(F.count_distinct("angle").alias("angles"))
 
 
-def chain(links: DataFrame, start: str, depth: int = 20) -> DataFrame:
-    """Parents of an artifact in order (step, sha); a cycle raises."""
+def chain(links: DataFrame, start: str, limit: int = 1000) -> DataFrame:
+    """Parents of an artifact in order (step, sha), until none is left; a cycle raises, and so do more than `limit` parents."""
     links.createOrReplaceTempView("terrazzo_links")
     spark = links.sparkSession
     return spark.sql(
-        f"""WITH RECURSIVE up(step, sha, path) AS (
+        f"""WITH RECURSIVE up(step, sha, path) MAX RECURSION LEVEL {limit + 2} AS (
         SELECT 0, CAST(:start AS string), array(CAST(:start AS string))
-        UNION ALL SELECT u.step + 1, l.parent, concat(u.path, array(l.parent)) FROM up u JOIN terrazzo_links l ON l.sha = u.sha WHERE l.parent IS NOT NULL AND u.step < {depth}
-        AND CASE WHEN array_contains(u.path, l.parent) THEN raise_error('cycle in parents') ELSE true END)
+        UNION ALL SELECT u.step + 1, l.parent, concat(u.path, array(l.parent)) FROM up u JOIN terrazzo_links l ON l.sha = u.sha WHERE l.parent IS NOT NULL
+        AND CASE WHEN array_contains(u.path, l.parent) THEN raise_error('cycle in parents') WHEN u.step >= {limit} THEN raise_error('more than {limit} parents') ELSE true END)
         SELECT step, sha FROM up""",
         args={"start": start},
     )

@@ -176,6 +176,17 @@ def test_ordered_operators(spark):
         ordered.chain(loop, "a").collect()
 
 
+def test_chains_longer_than_twenty(spark):
+    line = spark.createDataFrame([(str(i), str(i + 1)) for i in range(30)], "sha string, parent string").coalesce(1)
+    assert [r["sha"] for r in ordered.chain(line, "0").orderBy("step").collect()] == [str(i) for i in range(31)]
+    assert ordered.chain(line, "0", limit=30).count() == 31
+    with pytest.raises(Exception, match="more than 29 parents"):
+        ordered.chain(line, "0", limit=29).collect()
+    loop = spark.createDataFrame([(str(i), str((i + 1) % 25)) for i in range(25)], "sha string, parent string").coalesce(1)
+    with pytest.raises(Exception, match="cycle"):
+        ordered.chain(loop, "0").collect()
+
+
 def test_consensus_case(spark):
     words = [("p", 1, 10.0, 10.0, 0, 10.0), ("p", 2, 12.0, 10.0, 20, 12.0), ("p", 3, 11.0, 11.0, 60, 100.0)]
     df = spark.createDataFrame(words, "page string, id int, x double, y double, angle int, direction double")
