@@ -56,7 +56,7 @@ STAGES = [
     ("SentencePiece encoding and decoding", piece_codec),
 ]
 
-#: SQL can't express the join's components, the classifier and the codec; tests hold the stages against brute force.
+#: SQL can't express the join's components, the classifier and the codec; tests hold the near-duplicate stage against brute force, the others only through their operators.
 ORACLE_SQL = None
 
 
