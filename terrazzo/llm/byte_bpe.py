@@ -132,7 +132,6 @@ def counter(path: str) -> HeapCounter:
 
 def count_tokens(docs: DataFrame, vocabulary: str, *, key: str = "doc_id", text: str = "text", limit: int = 512) -> DataFrame:
     """(key, n_bytes, n_tokens, over_limit) of every row of `docs`."""
-    common.small_batches(docs.sparkSession)
     kind = docs.schema[key].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

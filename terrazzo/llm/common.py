@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -25,24 +26,43 @@ def vocabulary(name: str) -> str:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, as the session names it.
 
-    Only where the session names none (tests) is one made on this machine.
+    Only where the session names none and runs on this machine alone (tests) is one made here.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = "file://" + os.path.join(tempfile.gettempdir(), "terrazzo-checkpoints")
-        spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
-def stored(df: DataFrame, label: str = "table") -> DataFrame:
-    """Write `df` as Parquet in the shared folder and return a reader of it.
+@contextlib.contextmanager
+def freed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is executed here go as soon as it is over; the session's setting comes back."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+def stored(df: DataFrame, label: str = "table", *more: DataFrame) -> DataFrame:
+    """Write `df`, and `more` of its schema one after another, as Parquet in the shared folder and return a reader.
 
     This cuts the lineage: a lost executor costs a reread, not a recomputation,
-    and every pruned column stays pruned. The files go when the session ends.
+    and every pruned column stays pruned. Shuffle files go with the write, the
+    table when the session ends.
     """
     spark = df.sparkSession
     path = shared_path(spark, label)
-    df.write.parquet(path)
+    with freed(spark):
+        for part in (df, *more):
+            part.write.mode("append").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -69,25 +89,10 @@ def drop(*tables: DataFrame) -> None:
                 files.delete(target, True)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of jobs that are over; else they stay until the driver's heap fills."""
-    spark.sparkContext._jvm.System.gc()
-
-
-def bucketed(df: DataFrame, key: str, label: str) -> DataFrame:
-    """`stored`, dealt by key into as many buckets as shuffles have partitions: joins on the key don't move it."""
-    spark = df.sparkSession
-    name = f"terrazzo_{label}_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.bucketBy(buckets, key).option("path", shared_path(spark, label)).format("parquet").saveAsTable(name)
-    out = spark.table(name)
-    out.terrazzo_name = name
-    return out
-
-
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Bound what one Arrow batch of documents holds in a Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def slices(batch: pa.RecordBatch, rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """A batch in pieces of at most so many rows, so that what is made of one stays small."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
 
 
 def portions(batch: pa.RecordBatch, *columns: str, limit: int = 1 << 20) -> Iterator[list[list]]:
@@ -104,18 +109,23 @@ def portions(batch: pa.RecordBatch, *columns: str, limit: int = 1 << 20) -> Iter
 
 
 class Memo(dict):
-    """A bounded cache of `make(key)`; the older half goes when it is full."""
+    """A cache of `make(key)`, bounded by `room` entries and by the characters of string keys (`letters`; 0: keys are numbers); the older half goes when it is full."""
 
-    def __init__(self, make, room: int = 300_000):
+    def __init__(self, make, room: int = 300_000, letters: int = 8_000_000):
         super().__init__()
-        self.make, self.room, self.old = make, room, {}
+        self.make, self.room, self.letters, self.held, self.old = make, room, letters, 0, {}
 
     def __missing__(self, key):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
-        if len(self) >= self.room:
+        size = len(key) if self.letters else 0
+        if size > 256:
+            return value  # long runs hardly come back
+        self.held += size
+        if len(self) >= self.room or self.held > self.letters > 0:
             self.old = dict(self)
             self.clear()
+            self.held = size
         self[key] = value
         return value

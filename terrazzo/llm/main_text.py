@@ -223,11 +223,10 @@ class Page:
 
 def extract(pages: DataFrame, *, key: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:
     """(key, url, text, n_chars) of every row."""
-    common.small_batches(pages.sparkSession)
     kinds = [pages.schema[c].dataType.simpleString() for c in (key, url)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (piece for b in batches for piece in common.slices(b)):
             texts = [Page(s).main_text() if (s := x.as_py()) else "" for x in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["key", "url", "text", "n_chars"])
 

@@ -217,7 +217,6 @@ def fit_rates(points: DataFrame, targets: np.ndarray) -> list[list[float]]:
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], *, key: str = "doc_id", text: str = "text", tokens: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """(key, *keep, n_tokens, posterior, rate) of every row; `labels` has the key and a `domain` column."""
-    common.small_batches(docs.sparkSession)
     domains = list(targets)
     model = fit(docs, labels, domains, key, text)
     table = common.stored(posteriors(docs, model, domains, key, text, tokens, keep), "posteriors")

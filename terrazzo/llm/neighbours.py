@@ -139,7 +139,6 @@ def build(reps: DataFrame, top: int) -> Index | None:
 def search(table: DataFrame, *, key: str = "vec_id", vector: str = "embedding", every: int = 20, top: int = 20) -> DataFrame:
     """(query_id, rank, key, score): nearest of every usable row whose id is divisible by `every`."""
     spark = table.sparkSession
-    common.small_batches(spark, 4000)
     out = f"query_id long, rank int, {key} long, score double"
     reps = distinct_vectors(table, key, vector, top + 1)
     index = build(reps, top)

@@ -5,33 +5,39 @@ by a boundary on set size:
 
 * light sets: a pair of sizes (s, t) links exactly if the sets share o(s, t)
   elements, so each set lists its subsets of that fixed size, per pair of sizes,
-  and equal subsets meet;
+  and equal subsets meet; keys have 128 bits;
 * heavy sets: inverted lists of the shingles that come first in one global order
   (rare ones first); two sets that link share one of their first
   n - ceil(0.9 n) + 1.
 
 Light sets reach a band above the boundary, so a pair across it meets as subsets.
-The boundary is the size from which listing subsets costs more than scanning
-lists; both costs come from a sample, as does the order. Neither changes the
-result: any order and any boundary give the same links.
+The order is by document counts over the whole corpus, hashed into COUNTERS
+counters. The boundary is the size from which listing subsets costs more than
+scanning lists; sizes come from all documents, the length of lists from a sample.
+Neither changes the result: any order and any boundary give the same links.
 
 A list is not multiplied out. Lists are split by size bands, so that members can
-link by size. Each list compares its members with one leader;
-links merge components; lists whose members are in one component are done. Three
-such rounds are followed by an exact one: members outside a list's main component
-meet all others that are still in another component, within the join condition of
-which a 1024-bit parity sketch gives a lower bound on the symmetric difference.
-Every pair that meets is checked on the full sets. So a group of near copies
-costs rows in proportion to its members, and no link that matters for a component
-is lost.
+link by size. Each list compares its members with one leader; links merge
+components; lists whose members are in one component are done. Three such rounds
+are followed by an exact one: members outside a list's main component meet all
+others that are still in another component, long lists dealt out to several tasks.
+
+What meets is checked in three steps. Parity sketches bound the symmetric
+difference from below: 1024 bits within the join, then one bit a shingle, so that
+large sets are told apart too. What is left is checked on the full sets: first the
+nearest partner of each member, then those pairs that are still in two components.
+So a group of near copies costs rows in proportion to its members, and no link
+that matters for a component is lost.
 
 Defined results: null ids link with nothing and get a null component; rows that
 share an id are one document, which links by any of its texts; null or wordless
-texts have an empty set and their own id; an empty table gives an empty table.
+texts have an empty set and their own id; an empty table gives an empty table;
+other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import itertools
 import math
@@ -47,13 +53,16 @@ from pyspark.sql import functions as F
 from . import common
 from .components import components
 
-#: Documents in the sample that fixes the order and the boundary, at most about.
+#: Documents in the sample from which the boundary's costs are estimated, at most about.
 SAMPLE = 8192
-#: A shingle is frequent if so many documents of the sample hold it.
-FREQUENT = 8
-#: Subsets are listed for sizes below this at most, whatever the costs.
-LARGEST_LIGHT = 40
-MEETING, CHECKING = 0.25, 64
+#: Counters of shingles over all documents, and how many of them one row carries.
+COUNTERS, CHUNK = 1 << 20, 1 << 14
+#: Parts, by hash, in which the lists' entries are counted: shuffle files of one part go before the next.
+PARTS = 4
+#: Costs in rows that are moved: of meeting a member of a list, and of an element in its full check.
+MEETING, ELEMENT = 8.0, 0.5
+#: Members outside the main component of a list that one task compares.
+DEAL = 1024
 SKETCH_WORDS = 16
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
@@ -92,114 +101,198 @@ def prefix_size(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def subset_keys(sets: np.ndarray, boundary: int, percent: int) -> list[tuple[int, int]]:
-    """(key, size of the smaller set) for every fixed-size subset, as sums of mixed hashes."""
+@functools.lru_cache(maxsize=256)
+def left_out(size: int, count: int) -> np.ndarray:
+    """The places of every choice of `count` out of `size`."""
+    found = itertools.chain.from_iterable(itertools.combinations(range(size), count))
+    return np.fromiter(found, np.int64).reshape(-1, count) if count else np.zeros((1, 0), np.int64)
+
+
+def subset_keys(sets: np.ndarray, boundary: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """128-bit keys, as rows of two numbers, and sizes of the smaller set for every fixed-size subset: sums of mixed hashes."""
     s = len(sets)
-    own = mixed(sets + _MIX[0])
-    out = []
+    own = np.stack([mixed(sets + _MIX[0]), mixed(sets ^ _MIX[2])], 1)
+    whole = own.sum(0, dtype=np.uint64)
+    keys, smaller = [np.zeros((0, 2), np.uint64)], [np.zeros(0, np.int32)]
     for t in partners(s, percent):
         small, large = min(s, t), max(s, t)
         need = overlap(s, t, percent)
         if small >= boundary or need > s:
             continue
-        label = np.uint64(small << 32 | large)
-        whole = own.sum(dtype=np.uint64)
-        for left in itertools.combinations(range(s), s - need):
-            rest = whole - own[list(left)].sum(dtype=np.uint64) if left else whole
-            out.append((int(mixed(np.array([rest ^ mixed(np.array([label]))[0]]))[0].view(np.int64)), small))
-    return out
+        label = mixed(np.array([small << 32 | large], np.uint64))
+        found = mixed((whole - own[left_out(s, s - need)].sum(1, dtype=np.uint64)) ^ label)
+        keys.append(found)
+        smaller.append(np.full(len(found), small, np.int32))
+    return np.concatenate(keys), np.concatenate(smaller)
 
 
 @dataclass
 class Plan:
-    """What the sample fixes."""
+    """What the corpus says: counts by hashed shingle, and the boundary."""
 
-    frequent: np.ndarray  # sorted hashes
     counts: np.ndarray
     boundary: int
 
     def prefix(self, sets: np.ndarray, percent: int) -> np.ndarray:
-        """The first elements in the global order: by count in the sample, then by hash."""
-        rank = np.zeros(len(sets), np.int64)
-        if len(self.frequent):
-            at = np.minimum(np.searchsorted(self.frequent, sets), len(self.frequent) - 1)
-            rank = np.where(self.frequent[at] == sets, self.counts[at], 0)
+        """The first elements in the global order: by counter, then by hash."""
+        rank = self.counts[(sets & np.uint64(COUNTERS - 1)).astype(np.int64)]
         return sets[np.lexsort((sets, rank))[: prefix_size(len(sets), percent)]]
 
 
+def corpus_counts(docs: DataFrame, text: str, width: int) -> tuple[np.ndarray, dict[int, int]]:
+    """Documents by hashed shingle, and by set size, over all documents.
+
+    A task sends its counters as COUNTERS / CHUNK rows; they are added up in two
+    steps, so no task reads what more than some hundreds have sent for one chunk.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, sizes = np.zeros(COUNTERS, np.uint32), {}
+        held, size = [], 0
+        for batch in batches:
+            for x in batch.column(0):
+                sets = shingles(x.as_py(), width)
+                sizes[len(sets)] = sizes.get(len(sets), 0) + 1
+                held.append(sets & np.uint64(COUNTERS - 1))
+                size += len(sets)
+                if size >= COUNTERS:
+                    own += np.bincount(np.concatenate(held).astype(np.int64), minlength=COUNTERS).astype(np.uint32)
+                    held, size = [], 0
+        if held:
+            own += np.bincount(np.concatenate(held).astype(np.int64), minlength=COUNTERS).astype(np.uint32)
+        if sizes:
+            yield told({k: own[k * CHUNK : (k + 1) * CHUNK].astype(np.int64) for k in range(COUNTERS // CHUNK)}, sizes)
+
+    def told(chunks: dict[int, np.ndarray], sizes: dict[int, int]) -> pa.RecordBatch:
+        blobs = [c.astype("<u8").tobytes() for c in chunks.values()] + [np.array(list(sizes.items()), "<u8").tobytes()]
+        from pyspark import TaskContext
+
+        salt = np.full(len(blobs), TaskContext.get().partitionId())
+        return pa.RecordBatch.from_arrays([pa.array([*chunks, -1], pa.int32()), pa.array(salt, pa.int64()), pa.array(blobs, pa.binary())], names=["chunk", "salt", "blob"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunks: dict[int, np.ndarray] = {}
+        sizes: dict[int, int] = {}
+        for batch in batches:
+            for k, blob in zip(batch.column(0).to_pylist(), batch.column(2), strict=True):
+                values = np.frombuffer(blob.as_py(), "<u8").astype(np.int64)
+                if k >= 0:
+                    chunks[k] = chunks[k] + values if k in chunks else values
+                else:
+                    for s, n in values.reshape(-1, 2).tolist():
+                        sizes[s] = sizes.get(s, 0) + n
+        if chunks or sizes:
+            yield told(chunks, sizes)
+
+    kind = "chunk int, salt long, blob binary"
+    partial = docs.select(F.col(text).alias("text")).mapInArrow(count, kind)
+    partial = partial.repartition("chunk", F.pmod("salt", F.lit(16))).mapInArrow(add, kind)
+    # At most COUNTERS counters in chunks, and as many pairs as there are sizes.
+    total = partial.repartition("chunk").mapInArrow(add, kind)
+    with common.freed(docs.sparkSession):
+        rows = total.toArrow()
+    counts, sizes = np.zeros(COUNTERS, np.int64), {}
+    for k, blob in zip(rows["chunk"].to_pylist(), rows["blob"].to_pylist(), strict=True):
+        values = np.frombuffer(blob, "<u8").astype(np.int64)
+        if k >= 0:
+            counts[k * CHUNK : (k + 1) * CHUNK] += values
+        else:
+            for s, n in values.reshape(-1, 2).tolist():
+                sizes[s] = sizes.get(s, 0) + n
+    return np.minimum(counts, 0xFFFFFFFF).astype(np.uint32), sizes
+
+
 def plan(docs: DataFrame, key: str, text: str, width: int, percent: int) -> Plan:
-    """Order and boundary from about SAMPLE documents, chosen by hash of the id."""
-    total = docs.count()
-    part = min(1.0, SAMPLE / max(1, total))
+    """Order and sizes from all documents; the boundary's costs from about SAMPLE of them, chosen by hash of the id."""
+    counts, sizes = corpus_counts(docs, text, width)
+    part = min(1.0, SAMPLE / max(1, sum(sizes.values())))
+    held = docs.sparkSession.sparkContext.broadcast(Plan(counts, 1))
     chosen = docs.filter(F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(1 << 30)) < int(part * (1 << 30))).select(F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for (texts,) in common.portions(batch, "text", limit=1 << 23):
-                sets = [shingles(t, width) for t in texts]
-                found, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_counts=True)
-                sizes, m = np.unique([len(s) for s in sets], return_counts=True)
-                kinds = np.concatenate([np.zeros(len(found), np.int32), np.ones(len(sizes), np.int32)])
-                yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(np.concatenate([found.view(np.int64), sizes])), pa.array(np.concatenate([n, m]))], names=["kind", "h", "n"])
-
-    counts = common.stored(chosen.mapInArrow(run, "kind int, h long, n long").groupBy("kind", "h").agg(F.sum("n").alias("n")), "sample")
-    rare = counts.filter((F.col("kind") == 0) & (F.col("n") < FREQUENT)).agg(F.sum("n").alias("s"), F.sum(F.col("n") * F.col("n")).alias("q")).first()
-    # At most SAMPLE x mean set size / FREQUENT rows, and as many as sizes below LARGEST_LIGHT: no larger with more data.
-    often = counts.filter((F.col("kind") == 0) & (F.col("n") >= FREQUENT)).toPandas()
-    sizes = {r["h"]: r["n"] for r in counts.filter((F.col("kind") == 1) & (F.col("h") <= 2 * LARGEST_LIGHT)).collect()}
-    common.drop(counts)
-    order = np.argsort(often["h"].to_numpy(np.int64).view(np.uint64))
-    met = ((rare["q"] / rare["s"] - 1) / max(part, 1e-9)) if rare["s"] else 0.0  # others on the list of a random entry
-    boundary = cheapest_boundary(sizes, met, percent)
-    return Plan(often["h"].to_numpy(np.int64).view(np.uint64)[order], often["n"].to_numpy(np.int64)[order], boundary)
+                found = np.concatenate([np.zeros(0, np.uint64), *(held.value.prefix(s, percent) for t in texts if len(s := shingles(t, width)))])
+                found, n = np.unique(found, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], names=["h", "n"])
+
+    lists = chosen.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    stats = lists.agg(F.sum("n").alias("s"), F.sum(F.col("n") * F.col("n")).alias("q")).first()
+    met = (stats["q"] / stats["s"] - 1) / max(part, 1e-9) if stats["s"] else 0.0
+    return Plan(counts, cheapest_boundary(sizes, met, percent))
 
 
 def cheapest_boundary(sizes: dict[int, int], met: float, percent: int) -> int:
     """The size below which sets list subsets, from counts of sizes and the others that a list's entry meets.
 
-    A listed subset and a list's entry are one moved row each; a member that is met
-    costs MEETING rows, and its full check a row for every CHECKING elements.
+    A listed subset and a list's entry are one moved row each. A subset that meets
+    links as it is; a member of a list that meets its leader costs MEETING rows and
+    ELEMENT for each element of the full check.
     """
 
     def listed(s: int, boundary: int) -> int:
         return sum(math.comb(s, o) for t in partners(s, percent) if min(s, t) < boundary and (o := overlap(s, t, percent)) <= s)
 
     def scanned(s: int) -> float:
-        return prefix_size(s, percent) * (1 + met * (MEETING + s / CHECKING))
+        entries = prefix_size(s, percent)
+        return entries + min(1.0, entries * met) * (MEETING + ELEMENT * s)
 
-    def cost(boundary: int) -> float:
+    known = sorted((s, n) for s, n in sizes.items() if s)
+    over, best, least = sum(n * scanned(s) for s, n in known), 1, math.inf
+    for boundary in range(1, (known[-1][0] if known else 0) + 2):
         top = 100 * boundary // percent + 1
-        return sum(n * ((listed(s, boundary) if s <= top else 0) + (scanned(s) if s >= boundary else 0)) for s, n in sizes.items() if s)
-
-    return min(range(1, LARGEST_LIGHT + 1), key=cost)
+        lists = sum(n * listed(s, boundary) for s, n in itertools.takewhile(lambda x: x[0] <= top, known))
+        if lists >= least:
+            break  # subsets alone cost more than the best, and larger boundaries list more
+        cost = lists + over
+        if cost < least:
+            best, least = boundary, cost
+        over -= sum(n * scanned(s) for s, n in known if s == boundary)
+    return best
+
+
+def sketch_of(sets: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
+    """Parity of the set's hashes in 64 * SKETCH_WORDS bits, and in a power of two of at least one bit an element where that is more."""
+    bits = 64 * SKETCH_WORDS
+    width = max(bits, 1 << max(0, len(sets) - 1).bit_length())
+    parity = np.bincount(((sets >> np.uint64(32)) & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    coarse = np.bitwise_xor.reduce(parity.reshape(-1, bits), 0)
+    words = lambda p: np.packbits(p.astype(np.uint8)).view(np.int64)
+    return words(coarse), words(parity) if width > bits else None
 
 
 def describe(docs: DataFrame, key: str, text: str, width: int, percent: int, how: Plan) -> DataFrame:
-    """(key, n, sig, prefix, subsets, sketch) of every row, in one pass over the texts."""
+    """(key, n, sig, prefix, subsets, sketch, fine) of every row, in one pass over the texts."""
     held = docs.sparkSession.sparkContext.broadcast(how)
     kind = docs.schema[key].dataType.simpleString()
+    subset = pa.struct([("h", pa.int64()), ("g", pa.int64()), ("small", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fixed = held.value
         top = 100 * fixed.boundary // percent + 1
-        for batch in batches:
-            n, sig, prefix, subsets, sketch = [], [], [], [], []
+        for batch in (piece for b in batches for piece in common.slices(b)):
+            n, sig, prefix, subsets, sketch, fine = [], [], [], [], [], []
             for x in batch.column(1):
                 sets = shingles(x.as_py(), width)
                 size = len(sets)
                 n.append(size)
                 sig.append(hashlib.blake2b(sets.tobytes(), digest_size=16).digest())
-                prefix.append(fixed.prefix(sets, percent).view(np.int64) if size >= fixed.boundary else [])
-                subsets.append([{"h": k, "small": s} for k, s in subset_keys(sets, fixed.boundary, percent)] if 0 < size <= top else [])
-                bits = np.bincount((sets >> np.uint64(40)).astype(np.int64) % (64 * SKETCH_WORDS), minlength=64 * SKETCH_WORDS) & 1
-                sketch.append(np.packbits(bits.astype(np.uint8)).view(np.int64))
+                prefix.append(fixed.prefix(sets, percent).view(np.int64) if size >= fixed.boundary and size else [])
+                if 0 < size <= top:
+                    keys, small = subset_keys(sets, fixed.boundary, percent)
+                    subsets.append([{"h": h, "g": g, "small": m} for (h, g), m in zip(keys.view(np.int64).tolist(), small.tolist(), strict=True)])
+                else:
+                    subsets.append([])
+                coarse, whole = sketch_of(sets)
+                sketch.append(coarse)
+                fine.append(whole)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int32()), pa.array(sig, pa.binary()), pa.array(prefix, pa.list_(pa.int64())), pa.array(subsets, pa.list_(pa.struct([("h", pa.int64()), ("small", pa.int32())]))), pa.array(sketch, pa.list_(pa.int64()))],
-                names=["key", "n", "sig", "prefix", "subsets", "sketch"],
+                [batch.column(0), pa.array(n, pa.int32()), pa.array(sig, pa.binary()), pa.array(prefix, pa.list_(pa.int64())), pa.array(subsets, pa.list_(subset)), pa.array(sketch, pa.list_(pa.int64())), pa.array(fine, pa.list_(pa.int64()))],
+                names=["key", "n", "sig", "prefix", "subsets", "sketch", "fine"],
             )
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, f"key {kind}, n int, sig binary, prefix array<long>, subsets array<struct<h:long,small:int>>, sketch array<long>")
+    return rows.mapInArrow(run, f"key {kind}, n int, sig binary, prefix array<long>, subsets array<struct<h:long,g:long,small:int>>, sketch array<long>, fine array<long>")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, width: int) -> DataFrame:
@@ -207,30 +300,42 @@ def full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, width: in
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (piece for b in batches for piece in common.slices(b)):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingles(x.as_py(), width).view(np.int64) for x in batch.column(1)], pa.list_(pa.int64()))], names=["node", "elements"])
 
     rows = docs.select(F.col(key).alias("node"), F.col(text).alias("text")).join(wanted, "node", "left_semi")
     return rows.mapInArrow(run, f"node {kind}, elements array<long>")
 
 
-def may_link(a: str, b: str, percent: int) -> str:
-    """SQL: sizes and sketches of two members allow a link."""
-    need = f"ceil({percent} * ({a}.n + {b}.n) / {100.0 + percent} - 1e-9)"
-    apart = " + ".join(f"bit_count({a}.sketch[{k}] ^ {b}.sketch[{k}])" for k in range(SKETCH_WORDS))
-    return f"100 * least({a}.n, {b}.n) >= {percent} * greatest({a}.n, {b}.n) and {apart} <= {a}.n + {b}.n - 2 * {need}"
+def allowed(a: str, b: str, percent: int) -> str:
+    """SQL: the largest symmetric difference of two members that link."""
+    total = f"(cast({a}.n as bigint) + {b}.n)"
+    return f"{total} - 2 * (({percent} * {total} + {99 + percent}) div {100 + percent})"
+
+
+def same_size(a: str, b: str, percent: int) -> str:
+    return f"100L * least({a}.n, {b}.n) >= {percent} * greatest({a}.n, {b}.n)"
+
+
+def coarse(a: str, b: str) -> str:
+    """SQL: a lower bound of the symmetric difference, by the sketches of fixed size."""
+    return " + ".join(f"bit_count({a}.sketch[{k}] ^ {b}.sketch[{k}])" for k in range(SKETCH_WORDS))
+
+
+def finer(a: str, b: str) -> str:
+    """SQL: the same by the larger sketches, the longer one folded to the length of the other; null where one has none."""
+    halves = lambda x: f"zip_with(slice({x}, 1, size({x}) div 2), slice({x}, size({x}) div 2 + 1, size({x}) div 2), (p, q) -> p ^ q)"
+    fit = lambda x, y: f"case when size({x}) = 2 * size({y}) then {halves(x)} else {x} end"
+    x, y = f"{a}.fine", f"{b}.fine"
+    return f"aggregate(zip_with({fit(x, y)}, {fit(y, x)}, (p, q) -> bit_count(p ^ q)), 0, (s, c) -> s + c)"
 
 
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets link."""
-    one = pairs.join(sets.select(F.col("node").alias("a"), F.col("elements").alias("x")), "a")
+    one = pairs.select("a", "b").join(sets.select(F.col("node").alias("a"), F.col("elements").alias("x")), "a")
     two = one.join(sets.select(F.col("node").alias("b"), F.col("elements").alias("y")), "b")
     common_size = F.size(F.array_intersect("x", "y"))
-    return two.select("a", "b", F.size("x").alias("s"), F.size("y").alias("t"), common_size.alias("i")).filter(f"100 * i >= {percent} * (s + t - i)").select("a", "b").distinct()
-
-
-def same_size(a: str, b: str, percent: int) -> str:
-    return f"100 * least({a}.n, {b}.n) >= {percent} * greatest({a}.n, {b}.n)"
+    return two.select("a", "b", F.size("x").cast("long").alias("s"), F.size("y").alias("t"), common_size.alias("i")).filter(f"100 * i >= {percent} * (s + t - i)").select("a", "b").distinct()
 
 
 def led(lists: DataFrame, seed: int, percent: int) -> DataFrame:
@@ -241,19 +346,25 @@ def led(lists: DataFrame, seed: int, percent: int) -> DataFrame:
 
 
 def sketched(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """The pairs that the sketches of both allow to link."""
-    one = pairs.join(sketches.select(F.col("node").alias("a"), F.struct("n", "sketch").alias("x")), "a")
-    two = one.join(sketches.select(F.col("node").alias("b"), F.struct("n", "sketch").alias("y")), "b")
-    return two.filter(may_link("x", "y", percent)).select("a", "b")
+    """(a, b, d) for the pairs that the sketches of both allow to link; d bounds their difference from below."""
+    one = pairs.join(sketches.select(F.col("node").alias("a"), F.struct("n", "sketch", "fine").alias("x")), "a")
+    two = one.join(sketches.select(F.col("node").alias("b"), F.struct("n", "sketch", "fine").alias("y")), "b")
+    near = two.filter(same_size("x", "y", percent)).filter(f"{coarse('x', 'y')} <= {allowed('x', 'y', percent)}")
+    return near.withColumn("d", F.expr(f"coalesce({finer('x', 'y')}, {coarse('x', 'y')})")).filter(f"d <= {allowed('x', 'y', percent)}").groupBy("a", "b").agg(F.min("d").alias("d"))
 
 
 def rest(lists: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Members outside a list's main component against all members of other components."""
+    """Members outside a list's main component against all members of other components; long lists are dealt out."""
     lists = common.stored(lists.join(sketches.select("node", "sketch"), "node"), "rest")
     sizes = lists.groupBy("h", "band", "component").agg(F.count("*").alias("c"))
-    main = sizes.groupBy("h", "band").agg(F.max(F.struct("c", "component")).getField("component").alias("main"))
-    few = lists.join(main, ["h", "band"]).filter("component <> main")
-    pairs = few.alias("m").join(lists.alias("l"), F.expr("m.h = l.h and m.band = l.band and m.component <> l.component and (l.component = m.main or m.node < l.node) and " + may_link("m", "l", percent)))
+    main = sizes.groupBy("h", "band").agg(F.max(F.struct("c", "component")).alias("top"), F.sum("c").alias("all"))
+    main = main.select("h", "band", F.col("top.component").alias("main"), F.ceil((F.col("all") - F.col("top.c")) / DEAL).cast("int").alias("deals"))
+    told = lists.join(main, ["h", "band"])
+    few = told.filter("component <> main").withColumn("deal", F.pmod(F.xxhash64("node"), F.col("deals")).cast("int"))
+    every = told.withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("deals") - 1)))
+    pairs = few.alias("m").join(
+        every.alias("l"), F.expr(f"m.h = l.h and m.band = l.band and m.deal = l.deal and m.component <> l.component and (l.component = m.main or m.node < l.node) and {same_size('m', 'l', percent)} and {coarse('m', 'l')} <= {allowed('m', 'l', percent)}")
+    )
     return pairs.select(F.col("m.node").alias("a"), F.col("l.node").alias("b")).distinct()
 
 
@@ -266,90 +377,111 @@ def of_two(lists: DataFrame) -> DataFrame:
 def unlike(lists: DataFrame) -> DataFrame:
     """Lists of two or more, one of those with the same members: a near copy shares most of its lists.
 
-    Members are told by their count and two sums of 31-bit hashes.
+    Members are told by their count and four sums of 31 bits each from two hashes: 124
+    bits, so that lists that differ don't agree by chance.
     """
-    code = F.xxhash64("node")
-    sums = lists.groupBy("h", "band").agg(F.count("*").alias("c"), F.sum(code.bitwiseAND(F.lit(0x7FFFFFFF))).alias("s"), F.sum(F.shiftrightunsigned(code, 33)).alias("t")).filter("c > 1")
-    one = sums.groupBy("c", "s", "t").agg(F.min(F.struct("h", "band")).alias("one")).select("one.h", "one.band")
+    low, high = (lambda code: code.bitwiseAND(F.lit(0x7FFFFFFF))), (lambda code: F.shiftrightunsigned(code, 33))
+    codes = [F.xxhash64("node"), F.xxhash64(F.lit("second"), "node")]
+    sums = [F.sum(half(code)).alias(f"s{i}{j}") for i, code in enumerate(codes) for j, half in enumerate((low, high))]
+    told = lists.groupBy("h", "band").agg(F.count("*").alias("c"), *sums).filter("c > 1")
+    one = told.groupBy("c", "s00", "s01", "s10", "s11").agg(F.min(F.struct("h", "band")).alias("one")).select("one.h", "one.band")
     return lists.join(one, ["h", "band"])
 
 
-class FullSets:
-    """Full sets of the nodes that pairs name, read from the texts once for each."""
+class Groups:
+    """Components so far, and the full sets by which pairs are checked; each is read from the texts once."""
 
-    def __init__(self, docs: DataFrame, key: str, text: str, width: int):
-        self.docs, self.key, self.text, self.width = docs, key, text, width
+    def __init__(self, docs: DataFrame, key: str, text: str, width: int, percent: int):
+        self.docs, self.key, self.text, self.width, self.percent = docs, key, text, width, percent
         self.tables: list[DataFrame] = []
+        self.found = docs.sparkSession.createDataFrame([], f"node {docs.schema[key].dataType.simpleString()}, component {docs.schema[key].dataType.simpleString()}")
 
-    def linked(self, pairs: DataFrame, percent: int) -> DataFrame:
+    def links(self, pairs: DataFrame) -> DataFrame:
         wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         for known in self.tables:
             wanted = wanted.join(known.select("node"), "node", "left_anti")
         wanted = common.stored(wanted, "wanted")
         if not wanted.isEmpty():
-            self.tables.append(common.bucketed(full_sets(self.docs, wanted, self.key, self.text, self.width), "node", "elements"))
-            common.release(self.docs.sparkSession)
+            self.tables.append(common.stored(full_sets(self.docs, wanted, self.key, self.text, self.width), "elements"))
+        common.drop(wanted)
         sets = self.tables[0]
         for other in self.tables[1:]:
             sets = sets.unionByName(other)
-        return linked(pairs, sets, percent)
-
-    def close(self) -> None:
-        """Forget the tables and delete their files."""
-        common.drop(*self.tables)
-        for table in self.tables:
-            table.sparkSession.sql(f"DROP TABLE IF EXISTS {table.terrazzo_name}")
-        self.tables = []
+        return linked(pairs, sets, self.percent)
+
+    def of(self, rows: DataFrame, node: str, name: str) -> DataFrame:
+        """`rows` with the component of `node` as `name`: the node itself if none is known."""
+        own = self.found.select(F.col("node").alias("_node"), F.col("component").alias("_component"))
+        return rows.join(own, rows[node] == F.col("_node"), "left").withColumn(name, F.coalesce("_component", F.col(node))).drop("_node", "_component")
+
+    def merge(self, links: DataFrame) -> None:
+        """Join the components that links (a, b) connect: a graph of components only."""
+        joined = self.of(self.of(links, "a", "x"), "b", "y").filter("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b"))
+        joined = common.stored(joined.distinct(), "joined")
+        if joined.isEmpty():
+            return
+        moved = components(joined).select(F.col("node").alias("old"), F.col("component").alias("new"))
+        moved = common.stored(moved.distinct(), "moved")
+        # A component's own name is a node too.
+        known = self.found.select("node", "component").union(moved.select("old", "old")).distinct()
+        now = known.join(moved, F.col("component") == F.col("old"), "left").select("node", F.coalesce("new", "component").alias("component")).distinct()
+        before, self.found = self.found, common.stored(now.groupBy("node").agg(F.min("component").alias("component")), "found")
+        common.drop(joined, moved, before)
+
+    def check(self, pairs: DataFrame) -> None:
+        """Merge by pairs (a, b, d) whose sets link: the nearest partner of each first, then what is still apart."""
+        first = common.stored(pairs.groupBy("a").agg(F.min(F.struct("d", "b")).alias("m")).select("a", F.col("m.b").alias("b")), "first")
+        self.merge(self.links(first))
+        apart = self.of(self.of(pairs.select("a", "b").join(first, ["a", "b"], "left_anti"), "a", "x"), "b", "y").filter("x <> y")
+        apart = common.stored(apart.select("a", "b"), "apart")
+        if not apart.isEmpty():
+            self.merge(self.links(apart))
+        common.drop(first, apart)
 
 
 def join_components(docs: DataFrame, *, key: str = "doc_id", text: str = "text", width: int = 3, percent: int = 90) -> DataFrame:
     """(key, n_shingles, component_id) of every row: links are Jaccard >= percent / 100 on word shingles."""
-    spark = docs.sparkSession
-    common.small_batches(spark)
     docs = docs.select(key, text)
     how = plan(docs, key, text, width, percent)
     table = common.stored(describe(docs, key, text, width, percent, how), "sets")
-    nodes = common.stored(
-        table.filter("n > 0 and key is not null").groupBy("sig").agg(F.min("key").alias("node"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("subsets").alias("subsets"), F.first("sketch").alias("sketch")),
-        "nodes",
-    )
-    # Lists of two or more; entries move without their sketches until then.
+    first = lambda c: F.first(c).alias(c)
+    nodes = common.stored(table.filter("n > 0 and key is not null").groupBy("sig").agg(F.min("key").alias("node"), *map(first, ("n", "prefix", "subsets", "sketch", "fine"))), "nodes")
+    sketches = nodes.select("node", "n", "sketch", "fine")
+    groups = Groups(docs, key, text, width, percent)
+    # Rows that share an id are one document: each of its nodes links with the least.
+    copies = table.filter("n > 0 and key is not null").select("key", "sig").join(nodes.select("sig", "node"), "sig").select("key", "node")
+    several = copies.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").select("key", "a")
+    same_id = copies.join(several, "key").filter("node <> a").select("a", F.col("node").alias("b"))
+    groups.merge(same_id.union(light_links(nodes)))
+    # Lists of two or more.
     entries = nodes.select("node", "n", F.explode("prefix").alias("h"))
-    repeated = entries.groupBy("h").agg(F.count("*").alias("c")).filter("c > 1").select("h")
     base = 1.000001 * math.log(100 / percent)
-    bands = F.floor(F.log(F.col("n")) / base)
-    short = entries.join(repeated, "h").select("h", "node", "n", F.explode(F.array(bands, bands + 1)).alias("band"))
-    short = common.stored(short.withColumn("component", F.col("node")), "short")
-    common.release(spark)
+    band = F.floor(F.log(F.col("n")) / base)
+    parts = []
+    for k in range(PARTS):
+        part = entries.filter(F.pmod("h", F.lit(PARTS)) == k)
+        repeated = part.groupBy("h").agg(F.count("*").alias("c")).filter("c > 1").select("h")
+        parts.append(part.join(repeated, "h").select("h", "node", "n", F.explode(F.array(band, band + 1)).alias("band")))
+    short = common.stored(parts[0], "short", *parts[1:])
     lists = common.stored(unlike(short), "lists")
     common.drop(short)
-    common.release(spark)
-    sketches = nodes.select("node", "n", "sketch")
-    # Equal subsets of a light set: all meet a member of the smaller size.
-    keyed = nodes.select("node", "n", F.explode("subsets").alias("e")).select("node", "n", F.col("e.h").alias("h"), F.col("e.small").alias("small"))
-    heads = keyed.groupBy("h", "small").agg(F.min(F.when(F.col("n") == F.col("small"), F.col("node"))).alias("head"), F.count("*").alias("c")).filter("c > 1 and head is not null")
-    light = keyed.join(heads, ["h", "small"]).filter("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
-    pairs = common.stored(sketched(led(lists, 1, percent).union(light).distinct(), sketches, percent), "pairs")
-    common.release(spark)
-    sets = FullSets(docs, key, text, width)
-    # Rows that share an id are one document: each of its nodes links with the least.
-    copies = table.filter("n > 0 and key is not null").select("key", "sig").join(nodes.select("sig", "node"), "sig").select("key", "node")
-    several = copies.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").select("key", "a")
-    same_id = copies.join(several, "key").filter("node <> a").select("a", F.col("node").alias("b")).distinct()
-    links = common.stored((sets.linked(pairs, percent) if not pairs.isEmpty() else pairs).union(same_id), "links")
-    found = components(links)
-    for seed in (2, 3, 0):
+    for seed in (1, 2, 3, 0):
         # A list that is in one component stays so: each round goes on with the open ones.
-        known = lists.select("h", "band", "node", "n").join(found.withColumnRenamed("component", "c"), "node", "left")
-        lists = common.stored(of_two(known.select("h", "band", "node", "n", F.coalesce("c", "node").alias("component"))), "open")
-        pairs = common.stored(sketched(led(lists, seed, percent), sketches, percent) if seed else rest(lists, sketches, percent), "pairs")
-        if pairs.isEmpty():
-            continue
-        links = common.stored(sets.linked(pairs, percent), "links")
-        common.release(spark)
-        if not links.isEmpty():
-            found = common.stored(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(links)), "found")
-    sets.close()
-    own = table.select("key", "n", "sig").join(nodes.select("sig", "node"), "sig", "left").join(found, "node", "left")
-    out = own.select(F.col("key").alias(key), F.col("n").cast("long").alias("n_shingles"), F.when(F.col("key").isNotNull(), F.coalesce("component", "node", "key")).alias("component_id"))
-    return out
+        before, lists = lists, common.stored(of_two(groups.of(lists.select("h", "band", "node", "n"), "node", "component")), "open")
+        common.drop(before)
+        if lists.isEmpty():
+            break
+        pairs = common.stored(sketched(led(lists, seed, percent) if seed else rest(lists, sketches, percent), sketches, percent), "pairs")
+        if not pairs.isEmpty():
+            groups.check(pairs)
+        common.drop(pairs)
+    own = groups.of(table.select("key", "n", "sig").join(nodes.select("sig", "node"), "sig", "left"), "node", "component")
+    common.drop(*groups.tables)
+    return own.select(F.col("key").alias(key), F.col("n").cast("long").alias("n_shingles"), F.when(F.col("key").isNotNull(), F.coalesce("component", "node", "key")).alias("component_id"))
+
+
+def light_links(nodes: DataFrame) -> DataFrame:
+    """(a, b) of light sets with equal subsets: all of a key meet a member of the smaller size, with which each links."""
+    keyed = nodes.select("node", "n", F.explode("subsets").alias("e")).select("node", "n", "e.*")
+    heads = keyed.groupBy("h", "g", "small").agg(F.min(F.when(F.col("n") == F.col("small"), F.col("node"))).alias("head"), F.count("*").alias("c")).filter("c > 1 and head is not null")
+    return keyed.join(heads, ["h", "g", "small"]).filter("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()

@@ -58,7 +58,7 @@ class PieceCodec:
         self.automaton.make_automaton()
         self.size = [len(p) for p in self.piece]
         self.inner = {p[i : i + 2] for p in self.score for i in range(len(p) - 1)}
-        self.compatible = common.Memo(self.test_pair, 400_000)
+        self.compatible = common.Memo(self.test_pair, 400_000, letters=0)
         self.cuts = common.Memo(self.encode_cut, 100_000)
         self.segments = common.Memo(self.code_segment, 250_000)
 
@@ -188,12 +188,11 @@ def codec(path: str) -> PieceCodec:
 
 def encode_decode(docs: DataFrame, vocabulary: str, *, key: str = "doc_id", text: str = "text", digest: bool = False) -> DataFrame:
     """(key, n_tokens, ids, decoded) of every row; with `digest`, SHA-256 of both instead."""
-    common.small_batches(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = codec(vocabulary)
-        for batch in batches:
+        for batch in (piece for b in batches for piece in common.slices(b)):
             n, ids, texts = [], [], []
             for x in batch.column(1):
                 size, joined, decoded = tool.code(x.as_py() or "")

@@ -163,7 +163,6 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", length: int = 100, texts: bool = False) -> DataFrame:
     """(key, n_bytes, n_removed, n_spans, kept_sha256[, spans, kept]) of every row."""
     spark = docs.sparkSession
-    common.small_batches(spark)
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(key).cast("long").alias("id"), F.xxhash64(body).alias("tie"), F.octet_length(body).alias("size"), body.alias("body"))
     texts_of = rows.filter(F.col("size") >= length)
@@ -179,14 +178,12 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     met = entries.join(twice, "h").distinct()  # copies of a text say the same
     met = common.stored(met, "anchors")
     common.drop(entries)
-    common.release(spark)
     again = met.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
     # The first row of each text stands for it.
     firsts = common.stored(texts_of.groupBy("tie", "size").agg(F.min(F.coalesce("id", F.lit(-(1 << 63)))).alias("first"), F.count("*").alias("n")), "firsts")
     asked = met.join(again, "h").groupBy("tie", "size").agg(F.collect_list(F.struct("h", "place")).alias("places")).join(firsts, ["tie", "size"])
     asked = common.stored(asked.select("tie", "size", "first", "places"), "asked")
     common.drop(met)
-    common.release(spark)
     first_rows = texts_of.withColumn("first", F.coalesce("id", F.lit(-(1 << 63))))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,12 +208,10 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     own = first_rows.join(asked.select("tie", "size", "first", "places"), ["tie", "size", "first"]).dropDuplicates(["tie", "size", "first"]).select("tie", "size", "first", "places", "body")
     segments = common.stored(own.mapInArrow(cut, "h long, digest long, segment binary, first long, tie long, size int, start long, stop long"), "segments")
     common.drop(asked)
-    common.release(spark)
     place = F.struct("first", "tie", "start")
     leaders = common.stored(segments.groupBy("h", "digest").agg(F.min(place).alias("lead")), "leaders")
     later = segments.drop("segment").join(leaders, ["h", "digest"]).filter("not (first = lead.first and tie = lead.tie and start = lead.start)")
     whole = common.stored(later.select("tie", "size", F.col("start").alias("a"), F.col("stop").alias("b")), "whole")
-    common.release(spark)
     groups = leaders.groupBy("h").agg(F.count("*").alias("members")).filter("members > 1")
     leading = segments.join(leaders.join(groups, "h"), ["h", "digest"]).filter("first = lead.first and tie = lead.tie and start = lead.start").select("h", "segment", "first", "tie", "size", "start", "members")
 
@@ -264,7 +259,6 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     single = crowded.join(earliest, "window").filter("not (first = lead.first and tie = lead.tie and start = lead.start)").select("tie", "size", F.col("start").alias("a"), (F.col("start") + length).alias("b"))
     spans = common.stored(whole.union(partly).union(single).groupBy("tie", "size").agg(F.collect_list(F.struct("a", "b")).alias("spans")), "spans")
     common.drop(segments, leaders)
-    common.release(spark)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

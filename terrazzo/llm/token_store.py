@@ -181,7 +181,6 @@ def encoder(path: str) -> Encoder:
 def write_store(docs: DataFrame, vocabulary: str, end_id: int, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Encode, write and return the shard table: (part, seq, part_start, ids, keys, image)."""
     spark = docs.sparkSession
-    common.small_batches(spark)
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

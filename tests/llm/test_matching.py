@@ -16,10 +16,10 @@ def word_sets(text, width=3):
     return frozenset(tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1)))
 
 
-def brute_components(rows):
+def brute_components(rows, width=3, percent=90):
     sets = {}
     for i, t in rows:
-        sets.setdefault(i, []).append(word_sets(t))
+        sets.setdefault(i, []).append(word_sets(t, width))
     ids = sorted(i for i in sets if i is not None)
     parent = {i: i for i in ids}
 
@@ -30,7 +30,7 @@ def brute_components(rows):
 
     for k, a in enumerate(ids):
         for b in ids[:k]:
-            if any(x and y and 100 * len(x & y) >= 90 * len(x | y) for x in sets[a] for y in sets[b]):
+            if any(x and y and 100 * len(x & y) >= percent * len(x | y) for x in sets[a] for y in sets[b]):
                 x, y = find(a), find(b)
                 parent[max(x, y)] = min(x, y)
     return {i: find(i) for i in ids}
@@ -58,19 +58,63 @@ def corpus(seed=1):
     return [*rows, (i, None), (i + 1, ""), (i + 2, " \n"), (0, rows[0][1])]
 
 
-@pytest.mark.parametrize("frequent,largest", [(8, 40), (2, 40), (8, 1)])
-def test_components_match_brute_force(spark, monkeypatch, frequent, largest):
-    monkeypatch.setattr(ngram_join, "FREQUENT", frequent)
-    monkeypatch.setattr(ngram_join, "LARGEST_LIGHT", largest)
+@pytest.mark.parametrize("width,percent,boundary,deal", [(3, 90, None, 1024), (3, 90, 24, 1), (5, 80, None, 2), (5, 80, 1, 1024), (2, 80, 9, 1024)])
+def test_components_match_brute_force(spark, monkeypatch, width, percent, boundary, deal):
+    monkeypatch.setattr(ngram_join, "DEAL", deal)
+    if boundary:
+        monkeypatch.setattr(ngram_join, "cheapest_boundary", lambda *_: boundary)
     rows = corpus()
-    docs = spark.createDataFrame([(i, t, 1, "x") for i, t in [*rows, (None, "a null id")]], "doc_id long, text string, n int, component string")
-    got = ngram_join.join_components(docs).collect()
-    want = brute_components(rows)
+    docs = spark.createDataFrame([(i, t, 1, "x", 2, 3) for i, t in [*rows, (None, "a null id")]], "doc_id long, text string, n int, component string, node int, sig int")
+    got = ngram_join.join_components(docs, width=width, percent=percent).collect()
+    want = brute_components(rows, width, percent)
     assert len(got) == docs.count()
     for r in got:
         assert r.component_id == want.get(r.doc_id), r
     sizes = {r.doc_id: r.n_shingles for r in got}
-    assert all(sizes[i] == len(word_sets(t)) for i, t in rows)
+    assert all(sizes[i] == len(word_sets(t, width)) for i, t in rows)
+
+
+def test_both_halves_find_links_and_costs_choose_between(spark):
+    rng = random.Random(3)
+    words = [f"w{k}" for k in range(5000)]
+    short, long = [], []
+    for _ in range(150):
+        base = rng.choices(words, k=9)
+        short += [base, [*base, rng.choice(words)]]
+    for _ in range(10):
+        base = rng.choices(words, k=200)
+        long += [base, [*base[:100], "new", *base[101:]]]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(short + long)], "doc_id long, text string")
+    how = ngram_join.plan(docs, "doc_id", "text", 5, 80)
+    assert 5 < how.boundary < 100
+    nodes = ngram_join.describe(docs, "doc_id", "text", 5, 80, how).withColumnRenamed("key", "node")
+    light = ngram_join.light_links(nodes).collect()
+    assert len(light) == 150 and all(max(r) < 300 for r in light)
+    got = {r.doc_id: r.component_id for r in ngram_join.join_components(docs, width=5, percent=80).collect()}
+    assert all(got[i] == i - i % 2 for i in range(len(short + long)))
+    # met: how many others an entry of a list meets
+    sizes = {s: 100 for s in range(5, 60)}
+    assert ngram_join.cheapest_boundary(sizes, 0.0, 80) < ngram_join.cheapest_boundary(sizes, 0.5, 80)
+
+
+def test_counts_cover_all_documents(spark):
+    docs = spark.createDataFrame([(i, "the same five words here " + f"x{i} y{i}") for i in range(40)], "doc_id long, text string").repartition(7)
+    counts, sizes = ngram_join.corpus_counts(docs, "text", 5)
+    assert sizes == {3: 40} and counts.sum() == 120 and counts.max() >= 40
+
+
+def test_larger_sketches_bound_differences():
+    rng = np.random.default_rng(2)
+    for size in (900, 1100, 5000, 20000):
+        a = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+        b = np.unique(np.concatenate([a[: int(size * 0.95)], rng.integers(0, 2**63, 30).astype(np.uint64)]))
+        far = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+        (ca, fa), (cb, fb), (_, ff) = map(ngram_join.sketch_of, (a, b, far))
+        bits = lambda x, y: int(np.bitwise_count((x ^ y).view(np.uint64)).sum())
+        apart = len(np.setxor1d(a, b))
+        assert bits(ca, cb) <= apart
+        if fa is not None and fb is not None and len(fa) == len(fb):
+            assert bits(fa, fb) <= apart and bits(fa, ff) > 0.3 * size
 
 
 def test_an_id_with_three_texts_links_by_each(spark):
@@ -95,7 +139,7 @@ def test_subsets_meet_exactly_where_sets_link():
         if not len(b):
             continue
         both, either = len(np.intersect1d(a, b)), len(np.union1d(a, b))
-        meet = {k for k, _ in ngram_join.subset_keys(a, 40, 90)} & {k for k, _ in ngram_join.subset_keys(b, 40, 90)}
+        meet = set(map(tuple, ngram_join.subset_keys(a, 40, 90)[0].tolist())) & set(map(tuple, ngram_join.subset_keys(b, 40, 90)[0].tolist()))
         if len(a) != len(b) or 100 * both >= 90 * either:
             assert bool(meet) == (100 * both >= 90 * either) or len(a) != len(b)
         if 100 * both >= 90 * either:
