@@ -142,5 +142,5 @@ def count_tokens(docs: DataFrame, vocabulary: str, *, key: str = "doc_id", text:
             tokens = [count(x.as_py() or "") for x in texts]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(tokens, pa.int64())], names=["key", "n_bytes", "n_tokens"])
 
-    out = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind.simpleString()}, n_bytes long, n_tokens long")
+    out = common.spread(docs.select(F.col(key).alias("key"), F.col(text).alias("text"))).mapInArrow(run, f"key {kind.simpleString()}, n_bytes long, n_tokens long")
     return out.select(F.col("key").alias(key), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

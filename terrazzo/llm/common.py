@@ -89,6 +89,12 @@ def drop(*tables: DataFrame) -> None:
                 files.delete(target, True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """`df` over as many partitions as there are cores, where its files split into fewer: texts cost far more than their move."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def slices(batch: pa.RecordBatch, rows: int = 1000) -> Iterator[pa.RecordBatch]:
     """A batch in pieces of at most so many rows, so that what is made of one stays small."""
     for at in range(0, batch.num_rows, rows):

@@ -230,5 +230,5 @@ def extract(pages: DataFrame, *, key: str = "page_id", url: str = "url", source:
             texts = [Page(s).main_text() if (s := x.as_py()) else "" for x in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["key", "url", "text", "n_chars"])
 
-    rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.col(source).alias("html"))
+    rows = common.spread(pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.col(source).alias("html")))
     return rows.mapInArrow(run, f"key {kinds[0]}, url {kinds[1]}, text string, n_chars long").withColumnsRenamed({"key": key, "url": url})

@@ -18,7 +18,7 @@ Neither changes the result: any order and any boundary give the same links.
 
 A list is not multiplied out. Lists are split by size bands, so that members can
 link by size. Each list compares its members with one leader; links merge
-components; lists whose members are in one component are done. Three such rounds
+components; lists whose members are in one component are done. Two such rounds
 are followed by an exact one: members outside a list's main component meet all
 others that are still in another component, long lists dealt out to several tasks.
 
@@ -394,6 +394,7 @@ class Groups:
     def __init__(self, docs: DataFrame, key: str, text: str, width: int, percent: int):
         self.docs, self.key, self.text, self.width, self.percent = docs, key, text, width, percent
         self.tables: list[DataFrame] = []
+        self.checked: list[DataFrame] = []
         self.found = docs.sparkSession.createDataFrame([], f"node {docs.schema[key].dataType.simpleString()}, component {docs.schema[key].dataType.simpleString()}")
 
     def links(self, pairs: DataFrame) -> DataFrame:
@@ -428,20 +429,27 @@ class Groups:
         before, self.found = self.found, common.stored(now.groupBy("node").agg(F.min("component").alias("component")), "found")
         common.drop(joined, moved, before)
 
+    def unchecked(self, pairs: DataFrame) -> DataFrame:
+        """Pairs that no earlier round has checked."""
+        for known in self.checked:
+            pairs = pairs.join(known, ["a", "b"], "left_anti").join(known.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
+        return pairs
+
     def check(self, pairs: DataFrame) -> None:
         """Merge by pairs (a, b, d) whose sets link: the nearest partner of each first, then what is still apart."""
         first = common.stored(pairs.groupBy("a").agg(F.min(F.struct("d", "b")).alias("m")).select("a", F.col("m.b").alias("b")), "first")
         self.merge(self.links(first))
+        self.checked.append(first)
         apart = self.of(self.of(pairs.select("a", "b").join(first, ["a", "b"], "left_anti"), "a", "x"), "b", "y").filter("x <> y")
         apart = common.stored(apart.select("a", "b"), "apart")
         if not apart.isEmpty():
             self.merge(self.links(apart))
-        common.drop(first, apart)
+            self.checked.append(apart)
 
 
 def join_components(docs: DataFrame, *, key: str = "doc_id", text: str = "text", width: int = 3, percent: int = 90) -> DataFrame:
     """(key, n_shingles, component_id) of every row: links are Jaccard >= percent / 100 on word shingles."""
-    docs = docs.select(key, text)
+    docs = common.spread(docs.select(key, text))
     how = plan(docs, key, text, width, percent)
     table = common.stored(describe(docs, key, text, width, percent, how), "sets")
     first = lambda c: F.first(c).alias(c)
@@ -465,13 +473,13 @@ def join_components(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     short = common.stored(parts[0], "short", *parts[1:])
     lists = common.stored(unlike(short), "lists")
     common.drop(short)
-    for seed in (1, 2, 3, 0):
+    for seed in (1, 2, 0):
         # A list that is in one component stays so: each round goes on with the open ones.
         before, lists = lists, common.stored(of_two(groups.of(lists.select("h", "band", "node", "n"), "node", "component")), "open")
         common.drop(before)
         if lists.isEmpty():
             break
-        pairs = common.stored(sketched(led(lists, seed, percent) if seed else rest(lists, sketches, percent), sketches, percent), "pairs")
+        pairs = common.stored(sketched(groups.unchecked(led(lists, seed, percent) if seed else rest(lists, sketches, percent)), sketches, percent), "pairs")
         if not pairs.isEmpty():
             groups.check(pairs)
         common.drop(pairs)

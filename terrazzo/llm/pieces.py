@@ -201,6 +201,6 @@ def encode_decode(docs: DataFrame, vocabulary: str, *, key: str = "doc_id", text
                 texts.append(hashlib.sha256(decoded.encode()).hexdigest() if digest else decoded)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string() if digest else pa.list_(pa.int32())), pa.array(texts, pa.string())], names=["key", "n_tokens", "ids", "decoded"])
 
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    rows = common.spread(docs.select(F.col(key).alias("key"), F.col(text).alias("text")))
     out = rows.mapInArrow(run, f"key {kind}, n_tokens long, ids {'string' if digest else 'array<int>'}, decoded string").withColumnRenamed("key", key)
     return out.withColumnsRenamed({"ids": "ids_sha256", "decoded": "decoded_sha256"}) if digest else out
