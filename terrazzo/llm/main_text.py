@@ -1,24 +1,28 @@
 """Main text of web pages by composite text density.
 
 A page is read into block nodes; inline markup belongs to the block around it.
-What HTML itself marks as no article text (navigation, forms, scripts, page headers
-and footers, ...), and blocks whose class, id or role names such a part, are left
-out with all they hold. For every remaining node:
+Elements that HTML or ARIA itself defines as no article text (navigation, forms,
+scripts, page headers and footers, hidden elements, ...) are left out with all they
+hold. For every remaining node:
 
     density = C / T * log(C / L * T / A) / log(ln(C * L / (C - L) + l * C / c + e))
 
 with C characters, L of them in links, T tags, A of them links, and l, c the same
-for the body. The node with the largest sum of its children's densities is where
-the article is; the least density on its path to the body is the threshold. From
-the body down that path, a branch off the path belongs to the text if its density
-reaches the threshold. Where the path runs through an article or main element,
-only that element counts. Within what is taken nothing is dropped but lists of
-links.
+for the body. The text of blocks whose class or id says nothing but that they are
+an advert, a notice, comments or the like is not counted, so their density is
+nothing. The node with the largest sum of its children's densities is where the
+article is; half the least density on its path to the body is the threshold, since
+densities grow with the logarithm of a node's size. From the
+body down that path, a branch off the path belongs to the text if its density
+reaches the threshold, or if it is a heading without links. Below the node all
+belongs to the text but branches that are link text for the most part, hold
+controls or are so named, and stay below the threshold.
 
 Every page is independent; a lost executor repeats its own split. Defined results:
 null or empty html gives an empty text; unclosed or stray tags are closed or
-skipped; repeated rows give repeated results; an empty table gives an empty table;
-columns other than the three named are ignored.
+skipped; a page without any block is one block; repeated rows give repeated
+results; an empty table gives an empty table; columns other than the three named
+are ignored.
 """
 
 from __future__ import annotations
@@ -34,8 +38,9 @@ from pyspark.sql import functions as F
 
 from . import common
 
-# Element names of HTML, and words that name parts of a page.
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']+|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
+# Element names and roles of HTML and ARIA, and words that name parts of a page.
+TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)([^<>"']*(?:"[^"<]*"[^<>"']*|'[^'<]*'[^<>"']*)*+)(>)?""", re.S)
+MARK = re.compile("[\"'>]")
 RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes", "noscript", "template", "svg", "math", "object", "select", "audio", "video", "canvas"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var"}
@@ -43,23 +48,38 @@ NEVER = {"nav", "footer", "aside", "form", "button", "menu", "dialog", "fieldset
 ENDS_P = {"address", "article", "aside", "blockquote", "details", "div", "dl", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "main", "menu", "nav", "ol", "p", "pre", "section", "table", "ul"}
 SAME_KIND = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = {"ul", "ol", "dl", "table", "body", "html", "div", "section", "article"}
-PARTS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent", "cookie", "cookies", "copyright", "disqus", "footer", "login", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "overlay", "pager", "pagination", "popup", "promo", "promotion", "recommended", "related", "replies", "respond", "search", "share", "sharing", "sidebar", "sidebars", "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "subscription", "toolbar", "widget", "widgets", "banners", "topbar", "sitemap", "complementary", "contentinfo", "alert"}
-NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?false)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
+ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alertdialog", "alert", "status", "menu", "menubar", "toolbar", "tablist", "tooltip"}
+CONTROLS = {"button", "form", "input", "select", "textarea", "fieldset"}
+PARTS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent", "cookie", "cookies", "copyright", "disqus", "footer", "gdpr", "login", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "overlay", "pager", "pagination", "popup", "promo", "promotion", "recommended", "related", "replies", "respond", "search", "share", "sharing", "sidebar", "sidebars", "signup", "social", "sponsor", "sponsored", "subscribe", "subscription", "toolbar", "topbar", "sitemap", "widget", "widgets"}
+#: Words beside those above that don't say what a block holds.
+PLAIN = {"area", "bar", "block", "body", "bottom", "box", "buttons", "container", "content", "form", "global", "group", "inner", "item", "items", "left", "links", "list", "main", "module", "outer", "panel", "posts", "primary", "right", "row", "secondary", "section", "site", "slot", "stories", "text", "thread", "top", "unit", "user", "wrap", "wrapper", "page", "header", "articles", "policy", "message", "to", "and", "the", "id", "js", "l", "r", "x"}
+NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s/]|=\s*["']?(?!until|false)|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
 WORDS = re.compile(r"[a-z]+")
+SHARE = 0.5  # of the least density on the path is the threshold
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
 
+def names_of(attributes: str) -> list[tuple[str, str]]:
+    """(attribute, value) of class, id and role."""
+    return [(m[0].lower(), m[1] or m[2] or m[3]) for m in NAMES.findall(attributes)] if "=" in attributes else []
+
+
 def left_out(name: str, attributes: str, inside: bool) -> bool:
-    """Whether an element is no article text; inside: within an article or main element."""
+    """Whether HTML or ARIA defines an element as no article text; inside: within an article or main element."""
     if name in NEVER or name == "header" and not inside:
         return True
-    if not attributes:
-        return False
-    said = [v for m in NAMES.findall(attributes) for v in m if v]
-    if name in ("article", "main", "body", "html"):
-        return any(v.strip().lower() in PARTS for v in said)
-    return any(w in PARTS for v in said for w in WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", v).lower())) or bool(HIDDEN.search(attributes))
+    return bool(attributes) and (any(kind == "role" and v.strip().lower() in ROLES for kind, v in names_of(attributes)) or bool(HIDDEN.search(attributes)))
+
+
+def named_part(attributes: str) -> bool:
+    """Whether one of an element's names is made of words for such parts and of words that say nothing else."""
+    for kind, value in names_of(attributes) if attributes else ():
+        for token in value.split() if kind != "role" else ():
+            words = set(WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower()))
+            if words & PARTS and words <= PARTS | PLAIN:
+                return True
+    return False
 
 
 class Page:
@@ -67,23 +87,25 @@ class Page:
 
     def __init__(self, source: str):
         self.name, self.parent = ["body"], [-1]
-        self.chars, self.links, self.tags, self.anchors = [0], [0], [0], [0]
+        self.chars, self.links, self.tags, self.anchors, self.controls = [0], [0], [0], [0], [0]
+        self.named = [False]
         self.texts: list[tuple[int, int, str]] = []  # (node, run, text)
         self.read(source)
 
-    def open(self, name: str, parent: int) -> int:
+    def open(self, name: str, parent: int, named: bool) -> int:
         self.name.append(name)
         self.parent.append(parent)
-        for counts in (self.chars, self.links, self.tags, self.anchors):
+        for counts in (self.chars, self.links, self.tags, self.anchors, self.controls):
             counts.append(0)
-        self.tags[-1] = 1
+        self.named.append(self.named[parent] or named)
+        self.tags[-1] = not self.named[-1]
         return len(self.name) - 1
 
     def read(self, source: str) -> None:
         # (element, node it belongs to, whether it's a block)
         stack: list[tuple[str, int, bool]] = []
         node, run, links, skipping, at, inside = 0, 0, 0, 0, 0, 0
-        end = len(source)
+        end, open_quotes = len(source), set()
         while at < end:
             m = TAG.search(source, at)
             text = source[at : m.start()] if m else source[at:]
@@ -92,10 +114,15 @@ class Page:
             if not m:
                 break
             at = m.end()
-            name = (m[2] or m[5] or "").lower()
+            name = (m[2] or "").lower()
             if not name:
                 continue
-            closing, attributes = bool(m[1] or m[4]), m[3] or m[6] or ""
+            closing, attributes = bool(m[1]), m[3]
+            if not m[4]:
+                stop = tag_end(source, at, open_quotes)
+                attributes, at = attributes + source[at : stop - 1], stop
+            if not skipping and name in CONTROLS:
+                self.controls[node] += 1
             if not closing and name in RAW:
                 shut = re.compile(rf"</{re.escape(name)}[\s/>]", re.I).search(source, at)
                 if shut is None:
@@ -138,10 +165,10 @@ class Page:
             links += name == "a"
             if not skip:
                 if name == "a":
-                    self.anchors[node] += 1
-                    self.tags[node] += 1
+                    self.anchors[node] += not self.named[node]
+                    self.tags[node] += not self.named[node]
                 elif block:
-                    node = self.open(name, node)
+                    node = self.open(name, node, named_part(attributes))
             # a skipped element counts itself, so that its end tag counts back
 
     def close(self, stack, k, skipping, links, inside):
@@ -156,7 +183,7 @@ class Page:
         if "&" in text:
             text = entities.unescape(text)
         self.texts.append((node, run, text))
-        size = len("".join(text.split()))
+        size = 0 if self.named[node] else len("".join(text.split()))
         self.chars[node] += size
         if linked:
             self.links[node] += size
@@ -184,6 +211,7 @@ class Page:
     def main_nodes(self) -> list[bool]:
         """Which nodes' texts belong to the article."""
         density, chars, links = self.densities()
+        controls = self.whole(self.controls)
         n = len(density)
         sums = [0.0] * n
         for i in range(1, n):
@@ -192,21 +220,17 @@ class Page:
         path = [best]
         while path[-1]:
             path.append(self.parent[path[-1]])
-        threshold = min(density[i] for i in path)
-        top = next((i for kind in ("article", "main") for i in reversed(path) if self.name[i] == kind), None)
+        threshold = SHARE * min(density[i] for i in path)
         on, keep = set(path), [False] * n
         for i in range(n):
             up = self.parent[i]
-            if top is not None:
-                keep[i] = i == top or up >= 0 and keep[up]
-            elif i in on:
+            if i in on:
                 keep[i] = True
             elif up in on and up != best:
-                keep[i] = density[i] >= threshold or self.name[i] in HEADINGS and links[i] == 0
+                keep[i] = density[i] >= threshold > 0 or self.name[i] in HEADINGS and links[i] == 0
             else:
-                keep[i] = keep[up]
-            if keep[i] and i not in on and self.anchors[i] + links[i] and chars[i] and 10 * links[i] >= 8 * chars[i] and self.name[i] in ("ul", "ol", "dl", "div", "section", "table") and (density[i] < threshold):
-                keep[i] = False  # a list of links
+                no_text = self.named[i] or controls[i] > 0 or chars[i] and 10 * links[i] >= 8 * chars[i]
+                keep[i] = keep[up] and not (no_text and density[i] < threshold)
         return keep
 
     def main_text(self) -> str:
@@ -221,6 +245,21 @@ class Page:
         return " ".join("".join(out).split())
 
 
+def tag_end(source: str, at: int, open_quotes: set[str]) -> int:
+    """The place after the `>` of a tag whose quoted values hold `<`; a quote that nothing closes is an ordinary character."""
+    while m := MARK.search(source, at):
+        quote, at = m[0], m.end()
+        if quote == ">":
+            return at
+        if quote not in open_quotes:
+            shut = source.find(quote, at)
+            if shut >= 0:
+                at = shut + 1
+            else:
+                open_quotes.add(quote)
+    return len(source) + 1
+
+
 def extract(pages: DataFrame, *, key: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:
     """(key, url, text, n_chars) of every row."""
     kinds = [pages.schema[c].dataType.simpleString() for c in (key, url)]

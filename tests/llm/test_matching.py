@@ -1,7 +1,10 @@
 """Near duplicates, repeated strings, neighbours and main texts against brute force."""
 
 import hashlib
+import math
 import random
+import re
+import time
 
 import numpy as np
 import pytest
@@ -227,6 +230,10 @@ PAGES = [
     ("", ""),
     (None, ""),
     ("<div><div><div>", ""),
+    ("<body><article><div class='article-share-image'>" + P + "</div><div class='post related-work'>" + P + "</div></article><div class='related-posts'>" + P + "</div></body>", f"{LOREM} {LOREM}"),
+    ("<article>" + P + "<div>We use cookies here. <button>Accept</button></div>" + P + "</article>", f"{LOREM} {LOREM}"),
+    ("<body><div role=complementary>" + P + "</div><div hidden>" + P + "</div><div><section>" + P + P + "</section><section>" + P + "</section></div></body>", f"{LOREM} {LOREM} {LOREM}"),
+    ("<p title='a > b < c' id=x>quoted</p>", "quoted"),
     ("<article><p>cut off in a tag <a href='x", "cut off in a tag"),
 ]
 
@@ -244,5 +251,101 @@ def test_main_text_query(spark):
     assert main_text.extract(df.limit(0)).count() == 0
 
 
+def slow_main_text(page):
+    """The formula by definition, over a tree of well-formed block elements: (name, [children or texts])."""
+
+    def size(node):
+        c = t = link = a = 0
+        for x in node[1]:
+            if isinstance(x, str):
+                c += len(x.replace(" ", ""))
+            elif x[0] == "a":
+                n = len(x[1][0].replace(" ", ""))
+                c, t, link, a = c + n, t + 1, link + n, a + 1
+            else:
+                n = size(x)
+                c, t, link, a = c + n[0], t + 1 + n[1], link + n[2], a + n[3]
+        return c, t, link, a
+
+    whole = size(page)
+
+    def density(node):
+        c, t, link, a = size(node)
+        if not c:
+            return 0.0
+        t += node is not page
+        t = max(1, t)
+        base = math.log(c * link / max(1, c - link) + whole[2] / max(1, whole[0]) * c + math.e)
+        ratio = math.log(c / max(1, link) * t / max(1, a))
+        return c / t * max(0.0, ratio / math.log(base) if base > 1.0000001 else ratio)
+
+    blocks = lambda node: [x for x in node[1] if not isinstance(x, str) and x[0] != "a"]
+    order, up = [page], {id(page): None}
+    for node in order:
+        for x in blocks(node):
+            up[id(x)] = node
+            order.append(x)
+    best = max(order, key=lambda n: sum(map(density, blocks(n))))
+    path, node = [], best
+    while node is not None:
+        path.append(node)
+        node = up[id(node)]
+    threshold = min(map(density, path)) / 2
+
+    def text(node, kept):
+        out = []
+        for x in node[1]:
+            if isinstance(x, str):
+                out.append(x if kept else "")
+            elif x[0] == "a":
+                out.append(x[1][0] if kept else "")
+            else:
+                on = any(x is p for p in path)
+                branch = any(node is p for p in path) and node is not best and not on
+                c, _, link, _ = size(x)
+                own = on or (density(x) >= threshold > 0 if branch else kept and not (c and 10 * link >= 8 * c and density(x) < threshold))
+                out.append(" " + text(x, own) + " ")
+        return "".join(out)
+
+    return " ".join(text(page, True).split())
+
+
+def test_densities_match_the_formula_on_random_trees():
+    rng = random.Random(8)
+
+    def words(n):
+        return " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(n)) + " "
+
+    def tree(depth):
+        out = []
+        for _ in range(rng.randint(1, 4)):
+            kind = rng.random()
+            if kind < 0.4 or not depth:
+                out.append(("div", [words(rng.choice((2, 9, 40)))]))
+            elif kind < 0.6:
+                out.append(("div", [("a", [words(rng.randint(1, 4))]) for _ in range(rng.randint(1, 6))]))
+            else:
+                out.append(("div", tree(depth - 1)))
+        return out
+
+    def html(node):
+        return node if isinstance(node, str) else f"<{node[0]}>" + "".join(map(html, node[1])) + f"</{node[0]}>"
+
+    several = 0
+    for _ in range(300):
+        page = ("body", tree(3))
+        got = main_text.Page(html(page)).main_text()
+        assert got == slow_main_text(page)
+        several += 0 < len(got) < len(re.sub("<[^>]*>", "", html(page)).strip())
+    assert several > 100
+
+
+def test_unclosed_quotes_take_linear_time():
+    page = "<p title='a>text " * 20_000 + '<i x="' * 20_001
+    began = time.perf_counter()
+    main_text.Page(page).main_text()
+    assert time.perf_counter() - began < 10
+
+
 def test_deep_pages_take_linear_time():
     assert main_text.Page("<div>" * 5000 + "deep" + "</div>" * 5000).main_text() == "deep"
