@@ -10,9 +10,10 @@ distribute, so places that can match are brought together first, without loss:
   segment, go to the group of their anchor's hash. Equal segments are one: all but
   the first are repeats as they stand;
 * each batch of whole groups becomes one string, segments in document order. Its
-  suffixes are sorted to the depth of `length` by prefix doubling; the previous
-  smaller position in suffix order gives the longest previous factor, and a window
-  is a repeat if that reaches `length`.
+  windows are put in suffix order to the depth of `length` by prefix doubling. The
+  previous and the next smaller place in that order share most with a window of all
+  that start before it: their common bytes are its longest previous factor, cut at
+  `length`, and a window is a repeat if the factor reaches `length`.
 
 A group of more than LARGEST segments (an anchor at the edge of a passage that very
 many documents share) is not given to one task: its windows are dealt out by
@@ -22,7 +23,8 @@ Exact copies of a text count once; later ones go whole. Texts are dealt out twic
 to meet their anchors and to meet their removed spans; only anchors' hashes are
 counted over the corpus. Defined results: a null text is empty; a null id comes
 first; rows alike in id and text are one document and get the same result; rows
-that share only an id are ordered by a hash of their text; an empty table gives an
+that share only an id are ordered by a hash of their text; texts are told apart by
+two 64-bit hashes, segments by one of 128 bits; an empty table gives an
 empty table; other columns are ignored.
 """
 
@@ -111,43 +113,99 @@ def anchors_of(parts: list[tuple[int, int, bytes]], length: int) -> tuple[np.nda
 
 def repeated_windows(segments: list[bytes], length: int) -> list[np.ndarray]:
     """For each segment, in order, which of its windows occur earlier in it or in one before it."""
-    data = np.frombuffer(b"".join(segments), np.uint8)
     sizes = np.array([len(s) for s in segments])
     ends = np.cumsum(sizes)
-    # ranks of the suffixes by their first 8, 16, ... bytes
-    padded = np.concatenate([data, np.zeros(length, np.uint8)]).astype(np.uint64)
+    starts = np.concatenate([np.arange(e - s, e - length + 1) for s, e in zip(sizes, ends, strict=True)])
+    flags = np.zeros(int(ends[-1]), bool)
+    flags[starts] = longest_previous(np.frombuffer(b"".join(segments), np.uint8), starts, length) >= length
+    return [flags[e - s : e - length + 1] for s, e in zip(sizes, ends, strict=True)]
+
+
+def first_words(data: np.ndarray) -> np.ndarray:
+    """The first 8 bytes of every suffix as a number; zeros follow the end."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)]).astype(np.uint64)
     word = np.zeros(len(data), np.uint64)
     for k in range(8):
         word = word << np.uint64(8) | padded[k : k + len(data)]
-    rank, depth = np.unique(word, return_inverse=True)[1].astype(np.int64), 8
-    while depth < length:
+    return word
+
+
+def suffix_ranks(word: np.ndarray, length: int) -> list[tuple[int, np.ndarray]]:
+    """(depth, ranks of all suffixes by their first `depth` bytes) for 8, 16, ... bytes up to `length`."""
+    out = [(8, np.unique(word, return_inverse=True)[1].astype(np.int32))]
+    while out[-1][0] < length:
+        depth, rank = out[-1]
         step = min(depth, length - depth)
-        ahead = np.concatenate([rank[step:], np.zeros(step, np.int64)])
-        rank = np.unique(rank * (len(data) + 1) + ahead, return_inverse=True)[1].astype(np.int64)
-        depth += step
-    # suffix order of the windows, equal ones by position
-    starts = np.concatenate([np.arange(e - s, e - length + 1) for s, e in zip(sizes, ends, strict=True)])
-    order = starts[np.lexsort((starts, rank[starts]))]
-    factor = longest_previous(order, rank, length)
-    flags = np.zeros(len(data), bool)
-    flags[order] = factor >= length
-    return [flags[e - s : e - length + 1] for s, e in zip(sizes, ends, strict=True)]
+        ahead = np.concatenate([rank[step:], np.zeros(min(step, len(rank)), np.int32)])
+        out.append((depth + step, np.unique(rank.astype(np.int64) * (len(word) + 1) + ahead, return_inverse=True)[1].astype(np.int32)))
+    return out
 
 
-def longest_previous(order: np.ndarray, rank: np.ndarray, length: int) -> np.ndarray:
-    """Longest previous factors to a depth of `length`, 0 where they are shorter.
+def longest_previous(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """The longest previous factor of each window, cut at `length`: bytes it shares with one that starts before it.
 
-    `order` lists positions by rank, equal ranks by position. The neighbours of a
-    position in suffix order that are smaller share most with it; of positions of one
-    rank the one just before is the previous smaller, and no next one is smaller, so
-    the factor reaches the depth exactly where the one before has the same rank.
+    The windows, each within one segment, stand in suffix order, equal ones by place.
+    Of all that start before a window, the nearest in that order on either side, the
+    previous and the next smaller place, share most with it.
     """
-    same = np.zeros(len(order), bool)
-    if len(order):
-        same[1:] = rank[order[1:]] == rank[order[:-1]]
-        smaller = np.concatenate([[False], order[:-1] < order[1:]])
-        same &= smaller
-    return np.where(same, length, 0)
+    if not len(starts):
+        return np.zeros(0, np.int64)
+    word = first_words(data)
+    ranks = suffix_ranks(word, length)
+    last = ranks[-1][1]
+    sorted_by = np.lexsort((starts, last[starts]))
+    place = starts[sorted_by]
+    factor = np.zeros(len(starts), np.int64)
+    for order in (place, place[::-1]):
+        near = previous_smaller(order)
+        found = shared_bytes(word, ranks, order, np.where(near >= 0, order[near], -1), length)
+        factor = np.maximum(factor, found if order is place else found[::-1])
+    out = np.empty(len(starts), np.int64)
+    out[sorted_by] = factor
+    return out
+
+
+def previous_smaller(values: np.ndarray) -> np.ndarray:
+    """For each index the nearest before it with a smaller value, or -1.
+
+    All between an index and its pointer are larger; a pointer at a larger value moves
+    on to where that one points, so the distance doubles with each round.
+    """
+    bounded = np.concatenate([values, [-1]])
+    near = np.arange(-1, len(values) - 1)
+    open_ones = np.flatnonzero(bounded[near] > values)
+    while len(open_ones):
+        near[open_ones] = near[near[open_ones]]
+        open_ones = open_ones[bounded[near[open_ones]] > values[open_ones]]
+    return near
+
+
+def equal_bytes(x: np.ndarray) -> np.ndarray:
+    """Leading zero bytes of 64-bit numbers."""
+    x, out = x.copy(), np.full(len(x), 8, np.int64)
+    for bits in (32, 16, 8):
+        high = x >> np.uint64(bits) != 0
+        out -= high * (bits // 8)
+        x = np.where(high, x >> np.uint64(bits), x)
+    return out - (x != 0)
+
+
+def shared_bytes(word: np.ndarray, ranks: list[tuple[int, np.ndarray]], one: np.ndarray, other: np.ndarray, length: int) -> np.ndarray:
+    """Common first bytes of the suffixes at two places, cut at `length`; none where `other` is -1."""
+    out = np.zeros(len(one), np.int64)
+    there = np.flatnonzero(other >= 0)
+    out[there] = equal_bytes(word[one[there]] ^ word[other[there]])
+    long = there[out[there] == 8]
+    same = ranks[-1][1][one[long]] == ranks[-1][1][other[long]]
+    out[long[same]] = length
+    long = long[~same]
+    a, b, at = one[long], other[long], np.zeros(len(long), np.int64)
+    for depth, rank in reversed(ranks[:-1]):
+        x, y = np.minimum(a + at, len(word) - 1), np.minimum(b + at, len(word) - 1)
+        at += depth * (rank[x] == rank[y])
+    x, y = np.minimum(a + at, len(word) - 1), np.minimum(b + at, len(word) - 1)
+    out[long] = at + equal_bytes(word[x] ^ word[y])
+    return np.minimum(out, length)
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -164,37 +222,38 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     """(key, n_bytes, n_removed, n_spans, kept_sha256[, spans, kept]) of every row."""
     spark = docs.sparkSession
     body = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.col(key).cast("long").alias("id"), F.xxhash64(body).alias("tie"), F.octet_length(body).alias("size"), body.alias("body"))
-    texts_of = rows.filter(F.col("size") >= length)
+    rows = docs.select(F.col(key).cast("long").alias("id"), F.xxhash64(body).alias("tie"), F.xxhash64(F.lit("also"), body).alias("also"), F.octet_length(body).alias("bytes"), body.alias("body"))
+    rows = common.spread(rows)
+    texts_of = rows.filter(F.col("bytes") >= length)  # told apart by two hashes, 128 bits
 
     def list_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ties, sizes = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            ties, others = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             h, own, place = anchors([x.as_py() for x in batch.column(2).cast(pa.binary())], length)
-            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(ties[own]), pa.array(sizes[own]), pa.array(place)], names=["h", "tie", "size", "place"])
-
-    entries = common.stored(texts_of.select("tie", "size", "body").mapInArrow(list_anchors, "h long, tie long, size int, place long"), "entries")
-    twice = entries.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
-    met = entries.join(twice, "h").distinct()  # copies of a text say the same
-    met = common.stored(met, "anchors")
-    common.drop(entries)
-    again = met.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(ties[own]), pa.array(others[own]), pa.array(place)], names=["h", "tie", "also", "place"])
+
+    entries = common.stored(texts_of.select("tie", "also", "body").mapInArrow(list_anchors, "h long, tie long, also long, place long"), "entries")
+    # A stored table on the side of the counts leaves a plain join, whose large keys Spark splits.
+    twice = common.stored(entries.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h"), "twice")
+    met = common.stored(entries.join(twice, "h").distinct(), "anchors")  # copies of a text say the same
+    common.drop(entries, twice)
+    again = common.stored(met.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h"), "again")
     # The first row of each text stands for it.
-    firsts = common.stored(texts_of.groupBy("tie", "size").agg(F.min(F.coalesce("id", F.lit(-(1 << 63)))).alias("first"), F.count("*").alias("n")), "firsts")
-    asked = met.join(again, "h").groupBy("tie", "size").agg(F.collect_list(F.struct("h", "place")).alias("places")).join(firsts, ["tie", "size"])
-    asked = common.stored(asked.select("tie", "size", "first", "places"), "asked")
-    common.drop(met)
+    firsts = common.stored(texts_of.groupBy("tie", "also").agg(F.min(F.coalesce("id", F.lit(-(1 << 63)))).alias("first"), F.count("*").alias("n")), "firsts")
+    asked = met.join(again, "h").groupBy("tie", "also").agg(F.collect_list(F.struct("h", "place")).alias("places")).join(firsts, ["tie", "also"])
+    asked = common.stored(asked.select("tie", "also", "first", "places"), "asked")
+    common.drop(met, again)
     first_rows = texts_of.withColumn("first", F.coalesce("id", F.lit(-(1 << 63))))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[] for _ in range(8)]
-            for tie, size, first, places, data in zip(*(batch.column(i).to_pylist() for i in range(4)), batch.column(4).cast(pa.binary()), strict=True):
+            for tie, also, first, places, data in zip(*(batch.column(i).to_pylist() for i in range(4)), batch.column(4).cast(pa.binary()), strict=True):
                 data = data.as_py()
                 for e in places:
                     start, more = e["place"] >> 16, e["place"] & 0xFF
                     segment = data[start : start + more + length]
-                    for column, v in zip(out, (e["h"], xxhash.xxh3_64_intdigest(segment) - (1 << 63), segment, first, tie, size, start, start + len(segment)), strict=True):
+                    for column, v in zip(out, (e["h"], xxhash.xxh3_128_digest(segment), segment, first, tie, also, start, start + len(segment)), strict=True):
                         column.append(v)
                 if len(out[0]) > 20_000:
                     yield segment_batch(out)
@@ -202,18 +261,21 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
             yield segment_batch(out)
 
     def segment_batch(out):
-        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds, strict=True)], names=["h", "digest", "segment", "first", "tie", "size", "start", "stop"])
+        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds, strict=True)], names=["h", "digest", "segment", "first", "tie", "also", "start", "stop"])
 
-    own = first_rows.join(asked.select("tie", "size", "first", "places"), ["tie", "size", "first"]).dropDuplicates(["tie", "size", "first"]).select("tie", "size", "first", "places", "body")
-    segments = common.stored(own.mapInArrow(cut, "h long, digest long, segment binary, first long, tie long, size int, start long, stop long"), "segments")
+    own = first_rows.join(asked.select("tie", "also", "first", "places"), ["tie", "also", "first"]).dropDuplicates(["tie", "also", "first"]).select("tie", "also", "first", "places", "body")
+    segments = common.stored(own.mapInArrow(cut, "h long, digest binary, segment binary, first long, tie long, also long, start long, stop long"), "segments")
     common.drop(asked)
     place = F.struct("first", "tie", "start")
     leaders = common.stored(segments.groupBy("h", "digest").agg(F.min(place).alias("lead")), "leaders")
     later = segments.drop("segment").join(leaders, ["h", "digest"]).filter("not (first = lead.first and tie = lead.tie and start = lead.start)")
-    whole = common.stored(later.select("tie", "size", F.col("start").alias("a"), F.col("stop").alias("b")), "whole")
-    groups = leaders.groupBy("h").agg(F.count("*").alias("members")).filter("members > 1")
-    leading = segments.join(leaders.join(groups, "h"), ["h", "digest"]).filter("first = lead.first and tie = lead.tie and start = lead.start").select("h", "segment", "first", "tie", "size", "start", "members")
+    whole = common.stored(later.select("tie", "also", F.col("start").alias("a"), F.col("stop").alias("b")), "whole")
+    groups = common.stored(leaders.groupBy("h").agg(F.count("*").alias("members")).filter("members > 1"), "groups")
+    several = common.stored(leaders.join(groups, "h"), "several")
+    leading = segments.join(several, ["h", "digest"]).filter("first = lead.first and tie = lead.tie and start = lead.start").select("h", "segment", "first", "tie", "also", "start", "members")
+
+    batch_bytes = BATCH_BYTES
 
     def factors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -221,19 +283,19 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
 
         def solve():
             held.sort(key=lambda r: (r[1], r[2], r[4]))
-            ties, sizes, a, b = [], [], [], []
+            ties, others, a, b = [], [], [], []
             for row, flags in zip(held, repeated_windows([r[0] for r in held], length), strict=True):
                 hit = np.flatnonzero(np.diff(np.concatenate([[0], flags.astype(np.int8), [0]])))
                 for x, y in zip(hit[::2].tolist(), hit[1::2].tolist(), strict=True):
                     ties.append(row[2])
-                    sizes.append(row[3])
+                    others.append(row[3])
                     a.append(row[4] + x)
                     b.append(row[4] + y - 1 + length)
-            return pa.RecordBatch.from_arrays([pa.array(ties, pa.int64()), pa.array(sizes, pa.int32()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["tie", "size", "a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array(ties, pa.int64()), pa.array(others, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["tie", "also", "a", "b"])
 
         for batch in batches:
             for h, *row in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
-                if h != last and held_bytes >= BATCH_BYTES:
+                if h != last and held_bytes >= batch_bytes:
                     yield solve()
                     held, held_bytes = [], 0
                 last = h
@@ -243,22 +305,22 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
             yield solve()
 
     usual = leading.filter(F.col("members") <= LARGEST).drop("members").repartition("h").sortWithinPartitions("h")
-    partly = usual.select("h", "segment", "first", "tie", "size", "start").mapInArrow(factors, "tie long, size int, a long, b long")
+    partly = usual.select("h", "segment", "first", "tie", "also", "start").mapInArrow(factors, "tie long, also long, a long, b long")
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for segment, first, tie, size, start in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+            for segment, first, tie, also, start in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
                 n = len(segment) - length + 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([hashlib.md5(segment[i : i + length]).digest() for i in range(n)], pa.binary()), pa.array(np.full(n, first)), pa.array(np.full(n, tie)), pa.array(np.full(n, size, np.int32)), pa.array(np.arange(start, start + n))],
-                    names=["window", "first", "tie", "size", "start"],
+                    [pa.array([hashlib.md5(segment[i : i + length]).digest() for i in range(n)], pa.binary()), pa.array(np.full(n, first)), pa.array(np.full(n, tie)), pa.array(np.full(n, also)), pa.array(np.arange(start, start + n))],
+                    names=["window", "first", "tie", "also", "start"],
                 )
 
-    crowded = leading.filter(F.col("members") > LARGEST).select("segment", "first", "tie", "size", "start").mapInArrow(windows, "window binary, first long, tie long, size int, start long")
+    crowded = leading.filter(F.col("members") > LARGEST).select("segment", "first", "tie", "also", "start").mapInArrow(windows, "window binary, first long, tie long, also long, start long")
     earliest = crowded.groupBy("window").agg(F.min(place).alias("lead"))
-    single = crowded.join(earliest, "window").filter("not (first = lead.first and tie = lead.tie and start = lead.start)").select("tie", "size", F.col("start").alias("a"), (F.col("start") + length).alias("b"))
-    spans = common.stored(whole.union(partly).union(single).groupBy("tie", "size").agg(F.collect_list(F.struct("a", "b")).alias("spans")), "spans")
-    common.drop(segments, leaders)
+    single = crowded.join(earliest, "window").filter("not (first = lead.first and tie = lead.tie and start = lead.start)").select("tie", "also", F.col("start").alias("a"), (F.col("start") + length).alias("b"))
+    spans = common.stored(whole.union(partly).union(single).groupBy("tie", "also").agg(F.collect_list(F.struct("a", "b")).alias("spans")), "spans")
+    common.drop(segments, leaders, groups, several)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -272,21 +334,21 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
                 lists.append([{"a": a, "b": b} for a, b in runs])
                 left.append(rest)
             arrays = [*batch.columns[:3], pa.array(gone, pa.int64()), pa.array(count, pa.int64()), pa.array(sums, pa.string())]
-            names = ["tie", "size", "first", "gone", "runs", "rest"]
+            names = ["tie", "also", "first", "gone", "runs", "rest"]
             if texts:
                 arrays += [pa.array(lists, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))), pa.array(left, pa.binary())]
                 names += ["spans", "kept"]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     more = ", spans array<struct<a:long,b:long>>, kept binary" if texts else ""
-    cut_rows = first_rows.join(spans.join(firsts, ["tie", "size"]).select("tie", "size", "first", "spans"), ["tie", "size", "first"])
-    changed = cut_rows.dropDuplicates(["tie", "size", "first"]).select("tie", "size", "first", "spans", "body").mapInArrow(keep, f"tie long, size int, first long, gone long, runs long, rest string{more}")
-    base = rows.select("id", "tie", "size", F.sha2("body", 256).alias("sha"), *([F.col("body").cast("binary").alias("body")] if texts else []))
-    copied = firsts.filter("n > 1").select("tie", "size", F.col("first").alias("lead"))
-    joined = base.join(copied, ["tie", "size"], "left").withColumn("first", F.coalesce("id", F.lit(-(1 << 63)))).join(changed, ["tie", "size", "first"], "left")
+    cut_rows = first_rows.join(spans.join(firsts, ["tie", "also"]).select("tie", "also", "first", "spans"), ["tie", "also", "first"])
+    changed = cut_rows.dropDuplicates(["tie", "also", "first"]).select("tie", "also", "first", "spans", "body").mapInArrow(keep, f"tie long, also long, first long, gone long, runs long, rest string{more}")
+    base = rows.select("id", "tie", "also", "bytes", F.sha2("body", 256).alias("sha"), *([F.col("body").cast("binary").alias("body")] if texts else []))
+    copied = firsts.filter("n > 1").select("tie", "also", F.col("first").alias("lead"))
+    joined = base.join(copied, ["tie", "also"], "left").withColumn("first", F.coalesce("id", F.lit(-(1 << 63)))).join(changed, ["tie", "also", "first"], "left")
     later_copy = F.col("lead").isNotNull() & (F.col("lead") != F.col("first"))
     empty = hashlib.sha256(b"").hexdigest()
-    size = F.col("size").cast("long")
+    size = F.col("bytes").cast("long")
     out = [
         F.col("id").alias(key),
         size.alias("n_bytes"),

@@ -178,6 +178,37 @@ def test_repeats_match_brute_force(spark, monkeypatch, largest):
     assert bytes(full.kept) == other.encode() and [(s.a, s.b) for s in full.spans] == [(len(other.encode()), 2 * len(other.encode()))]
 
 
+def test_longest_previous_factors_match_brute_force():
+    rng = random.Random(1)
+    for _ in range(40):
+        length = rng.choice((9, 16, 20, 33, 100))
+        segments = [bytes(rng.choices(b"ab", k=rng.randint(length, 4 * length)))]
+        for _ in range(rng.randint(0, 4)):
+            segments.append(bytes(rng.choices(b"abc", k=rng.randint(length, 3 * length))) if rng.random() < 0.5 else (segments[0] * 3)[5 : 5 + rng.randint(length, 2 * length)])
+        data = b"".join(segments)
+        ends = np.cumsum([len(x) for x in segments])
+        starts = np.concatenate([np.arange(e - len(x), e - length + 1) for x, e in zip(segments, ends, strict=True)])
+        got = repeats.longest_previous(np.frombuffer(data, np.uint8), starts, length)
+        for i, p in enumerate(starts):
+            shared = lambda q, p=p: next((k for k in range(length) if data[p + k] != data[q + k]), length)
+            assert got[i] == max(map(shared, starts[:i]), default=0)
+
+
+def test_repeats_across_chunks_and_batches(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "BATCH_BYTES", 2000)
+    rng = random.Random(11)
+    long = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz    ", k=repeats.CHUNK + 70_000))
+    seam = repeats.CHUNK
+    texts = ["x" + long[seam - 5000 : seam + 5000], long, "y" + long[-900:] + "z" + long[seam - 150 : seam + 150]]
+    changed = list(long[:30_000])
+    for k in range(0, len(changed), 170):
+        changed[k] = "#"
+    texts.append("".join(changed))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r[0]: tuple(r)[1:] for r in repeats.remove_repeats(docs).collect()}
+    assert got == brute_repeats([(i, t.encode()) for i, t in enumerate(texts)])
+
+
 def test_repeats_of_ids_nulls_and_nothing(spark):
     text = "x y z " * 40
     rows = [(None, text), (1, text), (1, text), (2, "q" * 99)]
