@@ -3,24 +3,26 @@
 Largest inner products become least distances: each vector gets one more
 coordinate so that all have the norm of the longest. Each of TABLES tables hashes
 with K Gaussian projections cut into cells of width WIDTH; K follows the logarithm
-of the number of vectors. A query visits cells in order of the estimated
-probability that a neighbour at the usual distance lies there, until the
-probabilities reach the share that its tables need for the recall asked for.
-Candidates of all visited cells are ranked by the exact inner product of the
-original vectors, in double precision, and the tables' results are merged.
-
-Cells lie in blocks by their first coordinates. Large blocks are dealt out to
+of the number of vectors. A query makes its perturbed buckets by itself: for each
+projection the cells next to its own with the estimated probability that a
+neighbour at the usual distance lies there, and of their combinations those that
+are likely enough to hold, together, the share of neighbours that its tables need
+for the recall asked for. They are listed in order of estimated success and looked
+up by key. Candidates of all visited buckets are ranked by the exact inner product
+of the original vectors, in double precision, and the tables' results are merged.
+
+Buckets lie in blocks by their first coordinates. Large blocks are dealt out to
 several groups of at most about BLOCK vectors, queries to groups of QUERIES, and a
-query goes only to blocks that can hold a cell it visits. Each group returns its
-best 21 for each query, so candidates are never emitted as pairs. Equal vectors
-are one: of their ids the 21 smallest are kept, as many as a result can hold, so a
-group of copies of any size costs one candidate.
+query goes only to blocks in which it has a bucket to look up. Each group returns
+its best 21 for each query, and all that tie with the last, so candidates are never
+emitted as pairs. Equal vectors are one: of their ids the 21 smallest are kept, as
+many as a result can hold, so a group of copies of any size costs one candidate.
 
 A sample of at most SAMPLE vectors gives the usual distance of the k-th neighbour;
 all vectors are indexed. Defined results: null vectors, zero vectors, those with
 null or non-finite components, or of another length than most, take no part;
 repeated ids are one per distinct vector; fewer candidates give fewer rows; an
-empty table gives none.
+empty table gives none; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -37,9 +39,10 @@ from pyspark.sql import functions as F
 
 from . import common
 
-TABLES, WIDTH, RECALL = 2, 2.0, 0.97
+TABLES, WIDTH, RECALL = 2, 2.0, 0.95
 BLOCK, QUERIES, SAMPLE = 8192, 2048, 8192
 DRAWS = 512
+REACH = 8  # cells to either side that a projection may be perturbed by
 
 
 @dataclass
@@ -69,14 +72,6 @@ class Index:
         z = lambda v: normal((v - place) / s)
         return np.log(np.maximum(1e-12, z(cells + 1.0) - z(cells + 0.0)))
 
-    def shares(self, places: np.ndarray, cells: np.ndarray) -> np.ndarray:
-        """`log_share` summed over coordinates, for queries x cells: few cells occur on each coordinate, so each is worked out once."""
-        out = np.zeros((len(places), len(cells)))
-        for k in range(places.shape[1]):
-            values, which = np.unique(cells[:, k], return_inverse=True)
-            out += self.log_share(places[:, k : k + 1], values[None, :])[:, which.ravel()]
-        return out
-
     def cut(self, place: np.ndarray, table: int) -> float:
         """The least log probability of cells that are visited: those likelier hold the share needed."""
         need = 1 - (1 - RECALL) ** (1 / TABLES)
@@ -84,6 +79,30 @@ class Index:
         return float(np.quantile(self.log_share(place, np.floor(drawn)).sum(1), 1 - need))
 
 
+    def probes(self, place: np.ndarray, table: int) -> np.ndarray:
+        """The buckets that a query at `place` visits, likeliest first: combinations of cells by coordinate, cut where the rest is too unlikely."""
+        least = self.cut(place, table) - 1e-9
+        reach = np.arange(-REACH, REACH + 1)
+        cells = np.floor(place)[:, None] + reach
+        share = self.log_share(place[:, None], cells)
+        rest = np.concatenate([np.cumsum(share.max(1)[::-1])[::-1][1:], [0.0]])
+        found, score = np.zeros((1, 0), np.int64), np.zeros(1)
+        for k in range(len(place)):
+            total = score[:, None] + share[k]
+            row, col = np.nonzero(total + rest[k] >= least)
+            found, score = np.concatenate([found[row], cells[k, col].astype(np.int64)[:, None]], 1), total[row, col]
+        return found[np.argsort(-score, kind="stable")]
+
+
+def bucket_keys(cells: np.ndarray) -> np.ndarray:
+    """A 64-bit key of each row of cells."""
+    out = np.zeros(len(cells), np.uint64)
+    for k in range(cells.shape[1]):
+        out = (out ^ cells[:, k].astype(np.int64).view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return out.view(np.int64)
+
+
 def normal(z: np.ndarray) -> np.ndarray:
     """The normal distribution function, by the series of Zelen and Severo (error under 8e-8)."""
     t = 1 / (1 + 0.2316419 * np.abs(z))
@@ -119,10 +138,10 @@ def build(reps: DataFrame, top: int) -> Index | None:
     if not n:
         return None
     longest = math.sqrt(stats["q"])
-    k = max(4, round(0.8 * math.log2(n)))
+    k = max(4, round(0.5 * math.log2(n)))
     rng = np.random.default_rng(20240229)
     planes, offsets = rng.standard_normal((TABLES, dim + 1, k)), rng.random((TABLES, k)) * WIDTH
-    index = Index(planes, offsets, longest, 1.0, min(k, max(1, math.ceil(math.log(max(1, n / BLOCK), 3)))))
+    index = Index(planes, offsets, longest, 1.0, min(k - 1, max(1, math.ceil(math.log(max(1, n / BLOCK), 3)))))
     # Bounded: SAMPLE vectors at most about, whatever n.
     rows = reps.filter(F.pmod(F.xxhash64("rep"), F.lit(1 << 30)) < int(min(1.0, SAMPLE / n) * (1 << 30))).select("v").toArrow().column(0).combine_chunks()
     sample = matrix(rows.chunk(0) if isinstance(rows, pa.ChunkedArray) else rows)
@@ -156,45 +175,37 @@ def search(table: DataFrame, *, key: str = "vec_id", vector: str = "embedding",
                 at = np.floor(ix.places(x, t)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), t, np.int32)), *(pa.array(at[:, i].copy()) for i in range(lead)), *batch.columns], names=["t", *names, "rep", "v"])
 
-    placed = reps.select("rep", "v").mapInArrow(cells, f"{place}, rep long, v {reps.schema['v'].dataType.simpleString()}")
+    placed = common.spread(reps.select("rep", "v")).mapInArrow(cells, f"{place}, rep long, v {reps.schema['v'].dataType.simpleString()}")
     counts = placed.groupBy("t", *names).agg(F.count("*").alias("n"))
     blocks = common.stored(counts.select("t", *names, F.ceil(F.col("n") / BLOCK).cast("int").alias("parts")), "blocks")
-    # One row per block: at most the vectors / BLOCK, or the cells of a few coordinates.
-    known = blocks.toPandas()
-    told = spark.sparkContext.broadcast({t: g[names].to_numpy() for t, g in known.groupby("t")})
-    per = {tuple(row[:-1]): row[-1] for row in known[["t", *names, "parts"]].itertuples(index=False)}
-    parts_of = spark.sparkContext.broadcast(per)
 
     def visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix = held.value
-        for batch in batches:
+        for batch in (piece for b in batches for piece in common.slices(b, 256)):
             x = matrix(batch.column(1))
             for t in range(TABLES):
-                if t not in told.value:
-                    continue
-                heads, at = told.value[t], ix.places(x, t, True)
-                rows, where, cuts = [], [], []
-                for i, p in enumerate(at):
-                    cut = ix.cut(p, t)
-                    best = ix.log_share(p, np.floor(p)).copy()
-                    best = np.maximum(best, ix.log_share(p, np.floor(p) + np.where(p % 1 > 0.5, 1, -1)))
-                    found = np.flatnonzero(ix.log_share(p[:lead], heads).sum(1) + best[lead:].sum() >= cut)
-                    for f in found:
-                        for part in range(parts_of.value[(t, *heads[f])]):
-                            rows.append(i)
-                            where.append((*heads[f], part))
-                            cuts.append(cut)
-                where = np.array(where, np.int32).reshape(-1, lead + 1)
+                rows, where, keys = [], [], []
+                for i, p in enumerate(ix.places(x, t, True)):
+                    found = ix.probes(p, t)  # the query's own cell is among them, or a likelier one
+                    heads, which = np.unique(found[:, :lead], axis=0, return_inverse=True)
+                    inner, order = bucket_keys(found[:, lead:]), np.argsort(which.ravel(), kind="stable")
+                    ends = np.cumsum(np.bincount(which.ravel(), minlength=len(heads)))[:-1]
+                    rows += [i] * len(heads)
+                    where.append(heads)
+                    keys += np.split(inner[order], ends)[: len(heads)]
+                where = np.concatenate([np.zeros((0, lead), np.int64), *where]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(rows), t, np.int32)), *(pa.array(where[:, i].copy()) for i in range(lead + 1)), *(c.take(pa.array(rows, pa.int64())) for c in batch.columns), pa.array(cuts, pa.float64())],
-                    names=["t", *names, "part", "rep", "v", "cut"],
+                    [pa.array(np.full(len(rows), t, np.int32)), *(pa.array(where[:, i].copy()) for i in range(lead)), *(c.take(pa.array(rows, pa.int64())) for c in batch.columns), pa.array(keys, pa.list_(pa.int64()))],
+                    names=["t", *names, "rep", "v", "probes"],
                 )
 
     # By vector: a group of copies may have its divisible ids beyond those kept.
     divisible = table.filter(F.col(key) % every == 0).select(F.col(key).cast("long").alias("query_id"), unsigned_zeros(table, vector).alias("v")).join(reps.select("rep", "v"), "v").select("query_id", "rep").distinct()
     owners = common.stored(divisible, "owners")
     asking = reps.join(owners.select("rep").distinct(), "rep", "left_semi").select("rep", "v")
-    asked = asking.mapInArrow(visits, f"{place}, part int, rep long, v {reps.schema['v'].dataType.simpleString()}, cut double")
+    asked = common.spread(asking).mapInArrow(visits, f"{place}, rep long, v {reps.schema['v'].dataType.simpleString()}, probes array<long>")
+    # Blocks that hold nothing fall out; a block in several parts is asked in each.
+    asked = asked.join(blocks, ["t", *names]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
     asked = asked.withColumn("deal", F.pmod(F.xxhash64("rep"), F.lit(max(1, math.ceil(owners.count() / QUERIES)))))
     asked = common.stored(asked, "asked")
     deals = asked.select("t", *names, "part", (F.col("deal") + 0).alias("deal")).distinct()
@@ -207,19 +218,23 @@ def search(table: DataFrame, *, key: str = "vec_id", vector: str = "embedding",
         if left.empty or right.empty:
             return none
         x, q = np.stack(left["v"].to_numpy()).astype(np.float64), np.stack(right["v"].to_numpy()).astype(np.float64)
-        ids, queries = left["rep"].to_numpy(), right["rep"].to_numpy()
-        at, inverse = np.unique(np.floor(ix.places(x, t)).astype(np.int64), axis=0, return_inverse=True)
-        share = ix.shares(ix.places(q, t, True), at)
-        visited = (share >= right["cut"].to_numpy()[:, None])[:, inverse.ravel()]
+        ids, queries, probes = left["rep"].to_numpy(), right["rep"].to_numpy(), right["probes"].to_numpy()
+        buckets, inverse = np.unique(bucket_keys(np.floor(ix.places(x, t)).astype(np.int64)[:, lead:]), return_inverse=True)
+        slack = 1e-9 * ix.longest * np.sqrt((q * q).sum(1))
         out = []
-        for k in range(len(q)):
-            found = np.flatnonzero(visited[k])
-            if len(found) > 4 * top:
-                # a product that may differ in its last bits narrows; the ranks come from the exact sums
-                found = found[np.argpartition(-(x[found] @ q[k]), 3 * top)[: 3 * top + 1]]
-            score = (x[found] * q[k]).sum(1)
-            pick = np.lexsort((ids[found], -score))[: top + 1]
-            out.append((np.full(len(pick), queries[k]), ids[found[pick]], score[pick]))
+        for begin in range(0, len(q), 256):
+            near = x @ q[begin : begin + 256].T  # may differ from the exact sums in the last bits
+            for k in range(begin, min(begin + 256, len(q))):
+                at = np.minimum(np.searchsorted(buckets, probes[k]), len(buckets) - 1)
+                visited = np.zeros(len(buckets), bool)
+                visited[at[buckets[at] == probes[k]]] = True
+                found = np.flatnonzero(visited[inverse])
+                if len(found) > top + 1:
+                    rough = near[found, k - begin]
+                    found = found[rough >= np.partition(rough, -(top + 1))[-(top + 1)] - slack[k]]
+                score = (x[found] * q[k]).sum(1)
+                pick = np.lexsort((ids[found], -score))[: top + 1]
+                out.append((np.full(len(pick), queries[k]), ids[found[pick]], score[pick]))
         return pd.DataFrame(dict(zip(("query", "rep", "score"), map(np.concatenate, zip(*out, strict=True)), strict=True)))
 
     keys = ["t", *names, "part", "deal"]

@@ -243,6 +243,25 @@ def test_neighbours_rank_exactly_and_recall(spark):
     assert np.mean(hits) >= 0.9
 
 
+def test_ties_go_to_smaller_ids(spark):
+    rows = [(0, [1.0, 0.0])] + [(i, [0.5, 1e-6 * ((7 * i) % 400)]) for i in range(1, 400)]
+    got = neighbours.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).filter("query_id = 0").orderBy("rank").collect()
+    assert [r.vec_id for r in got] == list(range(1, 21)) and all(r.score == 0.5 for r in got)
+
+
+def test_probes_come_in_order_of_success_and_hold_the_share():
+    rng = np.random.default_rng(1)
+    index = neighbours.Index(rng.standard_normal((2, 9, 6)), rng.random((2, 6)) * neighbours.WIDTH, 1.0, 0.9, 1)
+    need = 1 - (1 - neighbours.RECALL) ** (1 / neighbours.TABLES)
+    for table in (0, 1):
+        place = rng.uniform(-3, 3, 6)
+        found = index.probes(place, table)
+        score = index.log_share(place, found).sum(1)
+        assert (np.diff(score) <= 1e-12).all() and len(np.unique(found, axis=0)) == len(found)
+        assert need - 0.08 < np.exp(score).sum() < need + 0.08
+        assert len(np.unique(neighbours.bucket_keys(found))) == len(found)
+
+
 def test_few_vectors_and_none(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0]), (7, [0.5, 0.5]), (20, [0.0, 2.0])], "vec_id long, embedding array<float>")
     got = neighbours.search(few).orderBy("query_id", "rank").collect()
