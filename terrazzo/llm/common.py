@@ -95,6 +95,11 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def passed(keep: tuple[str, ...], *own: str) -> list[str]:
+    """The columns to pass through: each once, none that the operator makes itself."""
+    return [c for c in dict.fromkeys(keep) if c not in own]
+
+
 def slices(batch: pa.RecordBatch, rows: int = 1000) -> Iterator[pa.RecordBatch]:
     """A batch in pieces of at most so many rows, so that what is made of one stays small."""
     for at in range(0, batch.num_rows, rows):

@@ -15,7 +15,8 @@ which are pre-aggregated.
 Five-word windows are compared by 64-bit hashes within one text. Defined results:
 a null or empty text has no words and fails the base rule; repeated rows give
 repeated results; an empty table gives an empty table; other columns pass
-through `assess` untouched only where `keep` names them.
+through `assess` untouched only where `keep` names them, and not where their name
+is that of a result.
 """
 
 from __future__ import annotations
@@ -48,6 +49,7 @@ ITERATIONS = 12
 #: are good, a bad vote is rarely wrong, and a bad document fails some rules, not most.
 START, START_GOOD, START_BAD, DRAWN = 0.9, 0.95, 0.35, 10.0
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+MADE = (*COUNTS, "n_lines", "n_caps", "n_letters", "n_bare", "n_marks", "n_digits", "n_stop", *(f"vote_{r}" for r in RULES), "base_failed", "quality", "kept")
 GAP = "[\\\\x20\\\\x09-\\\\x0D]"
 
 
@@ -68,7 +70,8 @@ def repeat_words(hashes: str = "hashes", width: int = 5) -> Column:
 
 def features(docs: DataFrame, *, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """(key, *keep, counts, votes) of every row."""
-    rows = docs.select(*dict.fromkeys([key, *keep]), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    rest = common.passed((key, *keep), *MADE)
+    rows = common.spread(docs.select(F.struct(*[F.col(c) for c in rest]).alias("_rest"), F.coalesce(F.col(text), F.lit("")).alias("_text")))
     stop = ", ".join(f"'{w}'" for w in STOP_WORDS)
     parts = rows.select(
         "*",
@@ -81,7 +84,7 @@ def features(docs: DataFrame, *, key: str = "doc_id", text: str = "text", keep:
     )
     left = lambda chars: F.expr(f"cast(length(regexp_replace(_text, '[^{chars}]+', '')) as bigint)")
     counts = windows.select(
-        *dict.fromkeys([key, *keep]),
+        *[F.col(f"_rest.`{c}`").alias(c) for c in rest],
         F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         left("#*$%&|<>").alias("n_symbols"),
@@ -112,7 +115,7 @@ def log_odds(shares: dict[str, tuple[float, float]], good: float) -> str:
 def estimate(votes: DataFrame) -> tuple[dict[str, tuple[float, float]], float]:
     """Expectation-maximisation over counted vote patterns: (right on good, right on bad) by rule, share of good."""
     names = [f"vote_{r}" for r in RULES]
-    patterns = common.stored(votes.groupBy(*names).agg(F.count("*").alias("n")).coalesce(1), "patterns")
+    patterns = common.stored(votes.groupBy(*names).agg(F.count("*").alias("n")).repartition(1), "patterns")
     shares, good = {r: (START_GOOD, START_BAD) for r in RULES}, START
     for _ in range(ITERATIONS):
         odds = patterns.select("*", F.expr(f"1.0 / (1.0 + exp(-({log_odds(shares, good)})))").alias("p"))

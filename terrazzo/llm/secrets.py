@@ -14,7 +14,8 @@ repeated rows share postings and each keep their result.
 
 Positions come from splitting a text at the matches: the lengths of what lies
 between and of the matches add up. Defined results: a null text counts as empty;
-an empty table gives an empty table; columns named in `keep` pass through.
+an empty table gives an empty table; columns named in `keep` pass through, but
+one named `spans`.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import trigrams
+from . import common, trigrams
 
 # The kinds that the contract names, in its order, with the least
 # length of the part that is measured (group number, code points).
@@ -43,6 +44,8 @@ MORE: dict[str, tuple[str, int, int]] = {
     "login_url": (r"[a-z][a-z0-9+.-]*://[^\x20\x09-\x0D/:@]+:[^\x20\x09-\x0D/@]+@", 0, 0),
 }
 RULES = BASE | MORE
+#: Patterns with the same spans that reject short runs at once: a greedy run is as long as it can be.
+FASTER = {"hex": r"[0-9a-f]{24,}"}
 #: Matches whose positions are summed in one go; keeps the sum of a long list from being copied whole each time.
 BLOCK = 256
 
@@ -86,7 +89,7 @@ def match_spans(kind: str, rule: tuple[str, int, int]) -> str:
     """SQL for array<struct<start, rank, kind, stop>> of a rule's matches in `_text`."""
     pattern, group, least = rule
     rank = list(RULES).index(kind)
-    rx = quoted(pattern)
+    rx = quoted(FASTER[kind] if rule == RULES.get(kind) and kind in FASTER else pattern)
     empty = "cast(array() as array<struct<start:int,stop:int>>)"
     # (gap before it, its length) of every match
     steps = f"transform(array(split(_text, {rx}, -1)), p -> transform(regexp_extract_all(_text, {rx}, 0), (m, i) -> struct(length(p[i]) as gap, length(m) as size)))[0]"
@@ -103,6 +106,8 @@ def match_spans(kind: str, rule: tuple[str, int, int]) -> str:
 def scan(docs: DataFrame, rules: dict[str, tuple[str, int, int]] = RULES, *, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """(key, *keep, spans) of every row; spans: array<struct<start, rank, kind, stop>> in order, code points, end exclusive."""
     body = F.coalesce(F.col(text), F.lit(""))
+    keep = tuple(common.passed(keep, key, "spans"))
+    docs = common.spread(docs.select(*dict.fromkeys([key, text, *keep])))
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(body).alias("digest"), body.alias("_text"), F.struct(*[F.col(c) for c in keep] or [F.lit(1)]).alias("_rest"))
     full = {k for k, q in queries(rules).items() if not q}
     narrowed = candidates(rows, {k: r for k, r in rules.items() if k not in full})
@@ -110,7 +115,7 @@ def scan(docs: DataFrame, rules: dict[str, tuple[str, int, int]] = RULES, *, key
     none = "cast(array() as array<struct<start:int,rank:int,kind:string,stop:int>>)"
     parts = [match_spans(k, r) if k in full else f"case when array_contains(found, '{k}') then {match_spans(k, r)} else {none} end" for k, r in rules.items()]
     out = met.withColumn("spans", F.expr(f"array_sort(concat({', '.join(parts)}))"))
-    return out.select(F.col("key").alias(key), *[F.col(f"_rest.{c}").alias(c) for c in keep if c != key], "spans")
+    return out.select(F.col("key").alias(key), *[F.col(f"_rest.`{c}`").alias(c) for c in keep], "spans")
 
 
 def digest_columns(found: DataFrame) -> DataFrame:

@@ -12,10 +12,14 @@ Boundary part: u64 low bits per value, u64 high words, packed low bits (padded t
 ones before it. An offset costs 2 + log2(ids / documents) bits plus half a bit of
 directory, not 64.
 
+The keys of a shard ascend, so they are a second Elias-Fano run beside the image, of
+the differences to the first; no 64-bit table is kept of keys or offsets.
+
 `write_store` range-partitions the documents by key (one shuffle of the texts),
 encodes them where they lie, and writes shard images of bounded size as rows of a
 Parquet table, since executors share no other file system than Spark's.
-`read_store` opens those images again and yields documents with global offsets:
+`read_store` opens those images again, asks select for each document's end and
+yields documents with global offsets:
 only one row per partition (its id count) goes through a window; ids are never
 shuffled.
 
@@ -88,15 +92,14 @@ class EliasFano:
         """The i-th value: the directory finds the word of the i-th one, its bits the place."""
         if not 0 <= i < self.count:
             raise IndexError(i)
-        word = int(np.searchsorted(self.before, i, side="right")) - 1
+        word = int(self.before.searchsorted(i, side="right")) - 1
         rest, left = int(self.high[word]), i - int(self.before[word])
         for _ in range(left):
             rest &= rest - 1
         place = word * 64 + (rest & -rest).bit_length() - 1
-        start, low = i * self.low_bits, 0
-        for k in range(self.low_bits):
-            low |= (int(self.low[(start + k) >> 3]) >> ((start + k) & 7) & 1) << k
-        return place - i << self.low_bits | low
+        start = i * self.low_bits
+        held = int.from_bytes(self.low[start >> 3 : (start + self.low_bits + 7) >> 3].tobytes(), "little") >> (start & 7)
+        return place - i << self.low_bits | held & (1 << self.low_bits) - 1
 
     def values(self) -> np.ndarray:
         """All values at once."""
@@ -178,10 +181,22 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def pack_keys(keys: list[int | None]) -> tuple[int, int, bytes]:
+    """(how many are null, the first other one, an Elias-Fano run of the differences to it) of ascending keys, nulls first."""
+    known = [k for k in keys if k is not None]
+    if not known:
+        return len(keys), 0, b""
+    return len(keys) - len(known), known[0], EliasFano.encode(np.array([k - known[0] for k in known], np.uint64)).to_bytes()
+
+
+def unpack_keys(nulls: int, first: int, run: bytes, count: int) -> list[int | None]:
+    known = (EliasFano.from_bytes(run, count - nulls).values().astype(np.int64) + first).tolist() if count > nulls else []
+    return [None] * nulls + known
+
+
 def write_store(docs: DataFrame, vocabulary: str, end_id: int, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Encode, write and return the shard table: (part, seq, part_start, ids, keys, image)."""
-    spark = docs.sparkSession
-    kind = docs.schema[key].dataType.simpleString()
+    """Encode, write and return the shard table: (part, seq, part_start, ids, nulls, first, keys, image); the key is an integer."""
+    shard_ids = SHARD_IDS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -190,49 +205,50 @@ def write_store(docs: DataFrame, vocabulary: str, end_id: int, *, key: str = "do
         tail = end_id.to_bytes(encode.width, "little")
         keys, runs, held, done, seq = [], [], 0, 0, 0
 
-        def shard(kind):
-            return pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([done], pa.int64()), pa.array([held], pa.int64()), pa.array([keys], pa.list_(kind)), pa.array([pack_shard(runs, encode.width)], pa.binary())],
-                names=["part", "seq", "part_start", "ids", "keys", "image"],
-            )
+        def shard():
+            nulls, first, packed = pack_keys(keys)
+            values = ((part, pa.int32()), (seq, pa.int32()), (done, pa.int64()), (held, pa.int64()), (nulls, pa.int32()), (first, pa.int64()), (packed, pa.binary()), (pack_shard(runs, encode.width), pa.binary()))
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in values], names=["part", "seq", "part_start", "ids", "nulls", "first", "keys", "image"])
 
-        at = pa.int64()
         for batch in batches:
-            at = batch.schema.field(0).type
             for k, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 ids = encode(text.as_py() or "")
                 keys.append(k)
                 runs.append(ids + tail)
                 held += len(ids) // encode.width + 1
-                if held >= SHARD_IDS:
-                    yield shard(at)
+                if held >= shard_ids:
+                    yield shard()
                     keys, runs, held, done, seq = [], [], 0, done + held, seq + 1
         if keys:
-            yield shard(at)
+            yield shard()
 
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    dealt = rows.repartitionByRange("key").sortWithinPartitions("key", "text")
-    shards = dealt.mapInArrow(run, f"part int, seq int, part_start long, ids long, keys array<{kind}>, image binary")
+    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
+    # By a hash of the text too: many rows of one key, or of none, are no single task's.
+    dealt = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange("key", "tie").sortWithinPartitions("key", "tie", "text").select("key", "text")
+    shards = dealt.mapInArrow(run, "part int, seq int, part_start long, ids long, nulls int, first long, keys binary, image binary")
     return common.stored(shards, "shards")
 
 
 def read_store(shards: DataFrame, *, key: str = "doc_id") -> DataFrame:
     """(key, start, n_tokens, ids_crc32) of every document in the shard table."""
-    kind = shards.schema["keys"].dataType.elementType.simpleString()
     # One row per partition: ids before it. The last shard of a part holds its total.
     parts = shards.groupBy("part").agg(F.max(F.col("part_start") + F.col("ids")).alias("total"))
     offsets = parts.select("part", (F.sum("total").over(Window.orderBy("part")) - F.col("total")).alias("before"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for keys, start, image in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2), strict=True):
+            for start, nulls, first, packed, image in zip(*(batch.column(i).to_pylist() for i in range(4)), batch.column(4), strict=True):
                 shard = Shard(image.as_py())
-                ends = shard.bounds.values()
-                begins = np.concatenate([np.zeros(1, np.int64), ends[:-1]])
-                wide = shard.ids.astype("<u4")
-                crc = [zlib.crc32(wide[a:b]) for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([keys.values, pa.array(begins + start), pa.array(ends - begins), pa.array(crc, pa.int64())], names=["key", "start", "n_tokens", "ids_crc32"])
+                wide, begin, starts, sizes, sums = shard.ids.astype("<u4"), 0, [], [], []
+                for i in range(shard.documents):
+                    end = shard.bounds.select(i)
+                    starts.append(start + begin)
+                    sizes.append(end - begin)
+                    sums.append(zlib.crc32(wide[begin:end]))
+                    begin = end
+                keys = unpack_keys(nulls, first, packed, shard.documents)
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (keys, starts, sizes, sums)], names=["key", "start", "n_tokens", "ids_crc32"])
 
     # As many offsets as write tasks, two integers each: a broadcast of bounded size.
-    own = shards.join(F.broadcast(offsets), "part").select("keys", (F.col("part_start") + F.col("before")).alias("start"), "image")
-    return own.mapInArrow(run, f"key {kind}, start long, n_tokens long, ids_crc32 long").withColumnRenamed("key", key)
+    own = shards.join(F.broadcast(offsets), "part").select((F.col("part_start") + F.col("before")).alias("start"), "nulls", "first", "keys", "image")
+    return own.mapInArrow(run, "key long, start long, n_tokens long, ids_crc32 long").withColumnRenamed("key", key)
