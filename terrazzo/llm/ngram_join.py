@@ -164,7 +164,7 @@ def corpus_counts(docs: DataFrame, text: str, width: int) -> tuple[np.ndarray, d
             yield told({k: own[k * CHUNK : (k + 1) * CHUNK].astype(np.int64) for k in range(COUNTERS // CHUNK)}, sizes)
 
     def told(chunks: dict[int, np.ndarray], sizes: dict[int, int]) -> pa.RecordBatch:
-        blobs = [c.astype("<u8").tobytes() for c in chunks.values()] + [np.array(list(sizes.items()), "<u8").tobytes()]
+        blobs = [c.astype("<i8").tobytes() for c in chunks.values()] + [np.array(list(sizes.items()), "<u8").tobytes()]
         from pyspark import TaskContext
 
         salt = np.full(len(blobs), TaskContext.get().partitionId())
@@ -405,10 +405,7 @@ class Groups:
         if not wanted.isEmpty():
             self.tables.append(common.stored(full_sets(self.docs, wanted, self.key, self.text, self.width), "elements"))
         common.drop(wanted)
-        sets = self.tables[0]
-        for other in self.tables[1:]:
-            sets = sets.unionByName(other)
-        return linked(pairs, sets, self.percent)
+        return linked(pairs, functools.reduce(DataFrame.union, self.tables), self.percent)
 
     def of(self, rows: DataFrame, node: str, name: str) -> DataFrame:
         """`rows` with the component of `node` as `name`: the node itself if none is known."""
@@ -431,9 +428,10 @@ class Groups:
 
     def unchecked(self, pairs: DataFrame) -> DataFrame:
         """Pairs that no earlier round has checked."""
-        for known in self.checked:
-            pairs = pairs.join(known, ["a", "b"], "left_anti").join(known.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
-        return pairs
+        if not self.checked:
+            return pairs
+        known = functools.reduce(DataFrame.union, self.checked)
+        return pairs.join(known.union(known.select("b", "a")), ["a", "b"], "left_anti")
 
     def check(self, pairs: DataFrame) -> None:
         """Merge by pairs (a, b, d) whose sets link: the nearest partner of each first, then what is still apart."""
@@ -457,8 +455,8 @@ def join_components(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     sketches = nodes.select("node", "n", "sketch", "fine")
     groups = Groups(docs, key, text, width, percent)
     # Rows that share an id are one document: each of its nodes links with the least.
-    copies = table.filter("n > 0 and key is not null").select("key", "sig").join(nodes.select("sig", "node"), "sig").select("key", "node")
-    several = copies.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").select("key", "a")
+    copies = common.stored(table.select("key", "n", "sig").join(nodes.select("sig", "node"), "sig", "left").select("key", "n", "node"), "copies")
+    several = copies.filter("key is not null").groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").select("key", "a")
     same_id = copies.join(several, "key").filter("node <> a").select("a", F.col("node").alias("b"))
     groups.merge(same_id.union(light_links(nodes)))
     # Lists of two or more.
@@ -483,7 +481,7 @@ def join_components(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
         if not pairs.isEmpty():
             groups.check(pairs)
         common.drop(pairs)
-    own = groups.of(table.select("key", "n", "sig").join(nodes.select("sig", "node"), "sig", "left"), "node", "component")
+    own = groups.of(copies, "node", "component")
     common.drop(*groups.tables)
     return own.select(F.col("key").alias(key), F.col("n").cast("long").alias("n_shingles"), F.when(F.col("key").isNotNull(), F.coalesce("component", "node", "key")).alias("component_id"))
 
