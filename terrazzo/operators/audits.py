@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.values import cell
+from . import graphs
 
 CELL = ["y", "x"]
 
@@ -67,13 +68,8 @@ def shared_palette(counts: DataFrame, group: str, colour: str, groups: int, leas
 
 
 def confusable_groups(pairs: DataFrame) -> DataFrame:
-    """(node, group_id) of groups linked by pairs (a, b), by a recursive query over a legend-sized table."""
-    pairs.createOrReplaceTempView("terrazzo_pairs")
-    return pairs.sparkSession.sql(
-        """WITH RECURSIVE both AS (SELECT a, b FROM terrazzo_pairs UNION ALL SELECT b, a FROM terrazzo_pairs),
-        reach(node, other, depth) AS (SELECT a, b, 1 FROM both UNION ALL SELECT r.node, e.b, r.depth + 1 FROM reach r JOIN both e ON r.other = e.a WHERE r.depth < 6)
-        SELECT node, least(node, min(other)) AS group_id FROM reach GROUP BY node"""
-    )
+    """(node, group_id) of groups linked by pairs (a, b), however long their chains; group_id: the least node."""
+    return graphs.components(pairs).select("node", F.col("component").alias("group_id"))
 
 
 def residuals(rows: DataFrame, value: str, by: list[str] | None = None) -> DataFrame:

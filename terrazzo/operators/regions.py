@@ -1,39 +1,23 @@
 """Connected components of cells, and the repairs that rest on them.
 
-Labels spread by alternating minima over an edge list of neighbouring cells, with
-the state written to the shared folder each round; rounds follow the logarithm of
-a component's extent rather than its length, since both ends of an edge move to
-the least neighbour's label.
+Cells of one row that touch are one run first, so labels spread over runs and not
+over cells: an edge list of runs that touch across rows goes to `graphs.components`,
+whose rounds follow the logarithm of a component's extent.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..storage import written
+from . import graphs
+
 CELL = ["y", "x"]
 #: Half of the neighbours; the other half are the same pairs read backwards.
 HALF = {4: [(0, 1), (1, 0)], 8: [(0, 1), (1, 0), (1, 1), (1, -1)]}
 
 
-def written(df: DataFrame) -> DataFrame:
-    """`df` as Parquet in the folder of spark.checkpoint.dir, and a reader of it."""
-    spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + os.path.join(tempfile.gettempdir(), "terrazzo-checkpoints")
-        spark.conf.set("spark.checkpoint.dir", base)
-    path = f"{base.rstrip('/')}/terrazzo/rounds-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def neighbours(cells: DataFrame, connectivity: int = 8, *, same: str | None = None) -> DataFrame:
     """(y, x, ny, nx) of neighbouring pairs, both ways; with `same`, of equal value only."""
     steps = [(dy * s, dx * s) for dy, dx in HALF[connectivity] for s in (1, -1)]
@@ -46,24 +30,20 @@ def neighbours(cells: DataFrame, connectivity: int = 8, *, same: str | None = No
 
 
 def components(cells: DataFrame, connectivity: int = 8, *, same: str | None = None) -> DataFrame:
-    """The cells with `label`: one value a component, that of its least cell."""
-    code = lambda y, x: (F.col(y).cast("long") * (1 << 31) + F.col(x)).alias("id")
-    state = written(cells.select(*CELL, *[same] if same else []).withColumn("id", code("y", "x")))
-    pairs = neighbours(state, connectivity, same=same)
-    edges = written(pairs.select(F.greatest(code("y", "x"), code("ny", "nx")).alias("a"), F.least(code("y", "x"), code("ny", "nx")).alias("b")).distinct())
-    seen = None
-    while True:
-        both = edges.union(edges.select("b", "a"))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
-        down = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(down, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(down.select("a", F.col("m").alias("b")))
-        edges = written(small.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == seen or not now[0]:
-            break
-        seen = now
-    return state.join(edges.select(F.col("a").alias("id"), F.col("b").alias("root")), "id", "left").select(*CELL, *[same] if same else [], F.coalesce("root", "id").alias("label"))
+    """The cells with `label`: one value a component, that of its least cell; with `same`, of cells of equal value."""
+    keep = [same] if same else []
+    code = lambda y, x: F.col(y).cast("long") * (1 << 31) + F.col(x)
+    row = Window.partitionBy("y").orderBy("x")
+    goes_on = F.col("x") == F.lag("x").over(row) + 1
+    if same:
+        goes_on &= F.col(same) == F.lag(same).over(row)
+    state = cells.select(*CELL, *keep).withColumn("_start", F.when(F.coalesce(goes_on, F.lit(False)), None).otherwise(code("y", "x")))
+    state = written(state.withColumn("id", F.last("_start", True).over(row)).drop("_start"))
+    steps = F.explode(F.array(*[F.lit(dx) for dx in ((0,) if connectivity == 4 else (-1, 0, 1))])).alias("dx")
+    below = state.select("y", "x", *keep, "id", steps).select((F.col("y") + 1).alias("y"), (F.col("x") + F.col("dx")).alias("x"), *keep, F.col("id").alias("a"))
+    edges = written(below.join(state.select(*CELL, *keep, F.col("id").alias("b")), [*CELL, *keep]).select("a", "b").distinct())
+    found = graphs.components(edges).select(F.col("node").alias("id"), "component")
+    return state.join(found, "id", "left").select(*CELL, *keep, F.coalesce("component", "id").alias("label"))
 
 
 def component_stats(labelled: DataFrame, by: list[str] | None = None) -> DataFrame:
