@@ -5,7 +5,7 @@ from pathlib import Path
 
 import pytest
 
-from terrazzo.plans import catalog
+from terrazzo.plans import catalog, strips  # noqa: F401
 
 DATA = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="driver tables are absent")
