@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import evidence, lines, masks, regions, reports
+from ..operators import evidence, fits, lines, masks, regions, reports, textures
 from .catalog import query, table
 
 WIDTH = 64
@@ -417,3 +417,77 @@ def source_boxes(spark, sf_dir):
     m = s.select("y", "x", (F.col("x") * 1.3 - 5).alias("u"), (F.col("y") * 0.4 + F.col("x") * 0.1 - 2).alias("v"))
     grid = [F.floor(F.col("y") * 3 / F.lit(high(s))).cast("int").alias("row"), F.floor(F.col("x") * 4 / WIDTH).cast("int").alias("col")]
     return reports.source_boxes(m, grid, u="u", v="v", width=70, height=60).withColumnsRenamed({"left": "lft", "right": "rgt"})
+
+
+_CONTROLS = "k as (select e, e % 5 as fold, x::double as x, y::double as y, 1.2 * x - 0.3 * y + 5 + r % 3 as u, 0.3 * x + 1.2 * y - 2 + g % 3 as v from strip)"
+
+
+def _controls(spark, sf_dir) -> DataFrame:
+    x, y = F.col("x").cast("double"), F.col("y").cast("double")
+    return strip(spark, sf_dir).select("e", (F.col("e") % 5).alias("fold"), x.alias("x"), y.alias("y"), (1.2 * x - 0.3 * y + 5 + F.col("r") % 3).alias("u"), (0.3 * x + 1.2 * y - 2 + F.col("g") % 3).alias("v"))
+
+
+@query("similarity_fit", f"with {STRIP}, {_CONTROLS}, m as (select avg(x) as mx, avg(y) as my, avg(u) as mu, avg(v) as mv from k), s as (select sum((x - mx) * (u - mu) + (y - my) * (v - mv)) / sum(pow(x - mx, 2) + pow(y - my, 2)) as a, sum((x - mx) * (v - mv) - (y - my) * (u - mu)) / sum(pow(x - mx, 2) + pow(y - my, 2)) as b from k, m) select round(a, 6) as a, round(b, 6) as b, round(mu - a * mx + b * my, 5) as tx, round(mv - b * mx - a * my, 5) as ty from s, m")
+def similarity_fit(spark, sf_dir):
+    m = fits.similarity(_controls(spark, sf_dir))
+    return spark.createDataFrame([(round(m[0][0], 6), round(m[1][0], 6), round(m[0][2], 5), round(m[1][2], 5))], "a double, b double, tx double, ty double")
+
+
+_SOLVED = "(sxu * syy - syu * sxy) / (sxx * syy - sxy * sxy) as a, (syu * sxx - sxu * sxy) / (sxx * syy - sxy * sxy) as b, (sxv * syy - syv * sxy) / (sxx * syy - sxy * sxy) as c, (syv * sxx - sxv * sxy) / (sxx * syy - sxy * sxy) as d"
+_COVERED = "var_pop(x) as sxx, var_pop(y) as syy, covar_pop(x, y) as sxy, covar_pop(x, u) as sxu, covar_pop(y, u) as syu, covar_pop(x, v) as sxv, covar_pop(y, v) as syv, avg(x) as mx, avg(y) as my, avg(u) as mu, avg(v) as mv"
+
+
+@query("affine_coefficients", f"with {STRIP}, {_CONTROLS}, s as (select {_COVERED} from k), f as (select *, {_SOLVED} from s), t as (select mu, mv, mx, my, a, b, c, d, mu - a * mx - b * my as tx, mv - c * mx - d * my as ty from f) select round(a, 6) as a, round(b, 6) as b, round(tx, 5) as tx, round(c, 6) as c, round(d, 6) as d, round(ty, 5) as ty, round((select sqrt(avg(pow(a * x + b * y + tx - u, 2) + pow(c * x + d * y + ty - v, 2))) from k), 6) as rms from t")
+def affine_coefficients(spark, sf_dir):
+    k = _controls(spark, sf_dir)
+    m = fits.affine(k)
+    rms = fits.affine_residuals(k, m).agg(F.sqrt(F.avg(F.col("residual") * F.col("residual")))).first()[0]
+    row = [round(m[0][0], 6), round(m[0][1], 6), round(m[0][2], 5), round(m[1][0], 6), round(m[1][1], 6), round(m[1][2], 5), round(rms, 6)]
+    return spark.createDataFrame([tuple(row)], "a double, b double, tx double, c double, d double, ty double, rms double")
+
+
+@query("model_residuals", f"with {STRIP}, {_CONTROLS}, d as (select fold, sqrt(pow((1.21 * x - 0.31 * y + 6) / (0.0001 * x + 1) - u, 2) + pow((0.3 * x + 1.19 * y - 1) / (0.0001 * x + 1) - v, 2)) as v from k) select fold, {_SUMMARY} from d group by fold")
+def model_residuals(spark, sf_dir):
+    out = fits.evaluate(_controls(spark, sf_dir), [[1.21, -0.31, 6.0], [0.3, 1.19, -1.0], [0.0001, 0.0, 1.0]], ["fold"])
+    return out.select("fold", "n", *[F.round(c, 6).alias(c) for c in out.columns[2:]])
+
+
+@query("held_out_folds", f"with {STRIP}, {_CONTROLS}, s as (select f.fold, {_COVERED} from (select distinct fold from k) f join k on k.fold <> f.fold group by f.fold), m as (select *, {_SOLVED} from s), d as (select k.fold, sqrt(pow(mu + a * (x - mx) + b * (y - my) - u, 2) + pow(mv + c * (x - mx) + d * (y - my) - v, 2)) as v from k join m using (fold)) select fold, {_SUMMARY.replace('6)', '5)')} from d group by fold")
+def held_out_folds(spark, sf_dir):
+    out = fits.held_out(_controls(spark, sf_dir), "fold")
+    return out.select("fold", "n", *[F.round(c, 5).alias(c) for c in out.columns[2:]])
+
+
+@query("texture_model", f"with {STRIP}, f as (select class_id, r / 4.0 as p, g / 8.0 as q from strip where class_id > 0), m as (select class_id, quantile_cont(p, 0.5) as mp, quantile_cont(q, 0.5) as mq from f group by class_id), d as (select class_id, mp, mq, sqrt(pow(p - mp, 2) + pow(q - mq, 2)) as d from f join m using (class_id)), n as (select class_id, quantile_cont(d, 0.5) as md from d group by class_id) select class_id, round(max(mp), 6) as p, round(max(mq), 6) as q, round(max(md) + 3 * quantile_cont(abs(d - md), 0.5), 6) as radius from d join n using (class_id) group by class_id")
+def texture_model(spark, sf_dir):
+    s = strip(spark, sf_dir).filter("class_id > 0").select("class_id", (F.col("r") / 4.0).alias("p"), (F.col("g") / 8.0).alias("q"))
+    centres, radii, _ = textures.texture_model(s, "class_id", ["p", "q"])
+    return spark.createDataFrame([(k, round(p, 6), round(q, 6), round(radii[k], 6)) for k, (p, q) in centres], "class_id int, p double, q double, radius double")
+
+
+@query("learned_prototypes", f"with {STRIP}, b as (select class_id, round_even(r / 32.0, 0)::int as r, round_even(g / 32.0, 0)::int as g, count(*) as n from strip where class_id > 0 group by all), k as (select *, row_number() over (partition by class_id order by n desc, r, g) as rank from b) select class_id, rank, n, least(greatest(r * 32.0, 0.0), 255.0) as r, least(greatest(g * 32.0, 0.0), 255.0) as g from k where rank <= 12")
+def learned_prototypes(spark, sf_dir):
+    return textures.learned_prototypes(strip(spark, sf_dir).filter("class_id > 0"), "class_id", ["r", "g"], step=32.0, most=12)
+
+
+_MARKS = "(e * 7919 % 23 = 0 or (y % 30 = 4 and x between 10 and 40))"
+
+
+@query("dot_pattern", f"with recursive {STRIP}, {labelled(_MARKS)}, kept as (select c.y, c.x, label, round_even(cy, 0)::int as my, round_even(cx, 0)::int as mx from c join stats using (label) where area <= 6 and w <= 4 and hh <= 4), q as (select a.label, case when b.y < a.my and b.x < a.mx then 0 when b.y < a.my then 1 when b.x < a.mx then 2 else 3 end as q, count(*) as n from (select distinct label, my, mx from kept) a join kept b on ((b.y >= a.my - 9 and b.y < a.my - 2) or (b.y >= a.my + 2 and b.y < a.my + 9)) and ((b.x >= a.mx - 9 and b.x < a.mx - 2) or (b.x >= a.mx + 2 and b.x < a.mx + 9)) group by 1, 2), good as (select label from q where n >= 2 group by label having count(*) >= 3) select y, x, label from kept where label in (select label from good) and (select count(*) from kept d where abs(d.y - kept.y) <= 5 and abs(d.x - kept.x) <= 5) >= 4")
+def dot_pattern(spark, sf_dir):
+    return textures.dot_pattern(strip(spark, sf_dir).filter(_MARKS), area=6, side=4, radius=9, quadrants=3, least=2, window=11, crowd=4)
+
+
+def _offsets(radius: int) -> str:
+    return ", ".join(f"({dy}, {dx})" for dy, dx in textures.ellipse(radius))
+
+
+_GAPS = f"""el(ey, ex) as (values {_offsets(2)}), rg(gy, gx) as (values {_offsets(1)}), fat as (select distinct y + ey as y, x + ex as x, class_id as k from strip, el, size where class_id > 0 and y + ey between 0 and h - 1 and x + ex between 0 and {WIDTH - 1}),
+ hit as (select f.y + ey as y, f.x + ex as x, k, count(*) as n from fat f, el group by 1, 2, 3), need as (select s.y, s.x, count(*) as n from strip s, el, size where class_id = 0 and s.y + ey between 0 and h - 1 and s.x + ex between 0 and {WIDTH - 1} group by s.y, s.x),
+ gaps as (select y + k * ((select h from size) + 2) as y, x, k from hit join need using (y, x, n))"""
+
+
+@query("small_gaps", f"with recursive {STRIP}, {_GAPS}, {labelled('true', 8, 'gaps')}, cells as (select c.y - k * (h + 2) as y, c.x, k, label from c join gaps using (y, x), size), fit as (select label from cells group by label having count(*) <= 6 and greatest(max(y) - min(y), max(x) - min(x)) < 4), around as (select distinct label, k, y + gy as y, x + gx as x from cells join fit using (label), rg), votes as (select label, count(*) as n, avg((s.class_id = a.k)::int) as same from around a join strip s using (y, x) where s.class_id > 0 and (a.label, a.y, a.x) not in (select (label, y, x) from cells) group by label), good as (select * from cells where label in (select label from votes where n >= 3 and same >= 0.9)) select y, x, min(k) as class_id from good group by y, x having min(k) = max(k)")
+def small_gaps(spark, sf_dir):
+    s = strip(spark, sf_dir)
+    return textures.small_gaps(s, high(s), WIDTH, radius=2, area=6, side=4, ring=1, least=3, share=0.9)

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from terrazzo.operators import audits, evidence, lines, masks, regions, reports
+from terrazzo.operators import audits, evidence, fits, lines, masks, regions, reports, textures
 
 
 def cells(spark, rows):
@@ -87,3 +87,41 @@ def test_empty_lines_and_exact_copies(spark):
     same = reports.same_values(some, some, ["c"]).first()
     assert same.passed and same.cells == 2 and same.differs_c == 0
     assert reports.mask_difference(some, some).count() == 0
+
+
+def test_matrices_are_found_again(spark):
+    places = [(float(x), float(y)) for x in range(0, 100, 20) for y in range(0, 80, 20)]
+
+    def under(m):
+        w = [m[2][0] * x + m[2][1] * y + m[2][2] for x, y in places]
+        return [(k, x, y, (m[0][0] * x + m[0][1] * y + m[0][2]) / w[k], (m[1][0] * x + m[1][1] * y + m[1][2]) / w[k]) for k, (x, y) in enumerate(places)]
+
+    truth = [[1.1, 0.2, 5.0], [-0.1, 0.9, 3.0], [0.001, -0.0005, 1.0]]
+    controls = spark.createDataFrame(under(truth), "id int, x double, y double, u double, v double")
+    found = fits.projective(controls)
+    assert all(abs(found[i][j] - truth[i][j]) < 1e-6 for i in range(3) for j in range(3))
+    assert fits.evaluate(controls, found).first().largest < 1e-6
+    back = fits.inverse(found)
+    turned = fits.moved(back, "u", "v")
+    assert controls.select(F.max(F.abs(turned[0] - F.col("x")) + F.abs(turned[1] - F.col("y")))).first()[0] < 1e-6
+    with pytest.raises(ValueError):
+        fits.inverse([[1, 2, 0], [2, 4, 0], [0, 0, 1]])
+
+
+def test_outliers_stay_out_of_the_fit(spark):
+    rows = [(k, float(k % 7 * 10), float(k // 7 * 10)) for k in range(49)]
+    moved = [(k, x, y, 2 * x + 3 + (40 if k % 6 == 0 else 0.1 * (k % 3)), y - x - (35 if k % 6 == 0 else 0)) for k, x, y in rows]
+    controls = spark.createDataFrame(moved, "id int, x double, y double, u double, v double")
+    got = {r.id: r.inlier for r in fits.consistent(controls, "id").collect()}
+    assert got == {k: k % 6 != 0 for k, _, _ in rows}
+    assert not any(r.inlier for r in fits.consistent(controls.limit(2), "id").collect())
+
+
+def test_textures_that_look_alike_raise(spark):
+    f = spark.createDataFrame([(1, 0.0, 0.0), (1, 0.2, 0.0), (2, 0.3, 0.1), (3, 9.0, 9.0)], "k int, p double, q double")
+    model = textures.texture_model(f, "k", ["p", "q"])
+    assert [(a, b) for a, b, _ in model[2]] == [(1, 2)]
+    with pytest.raises(ValueError):
+        textures.classify_texture(f, ["p", "q"], model, max_distance=1, min_margin=1)
+    good = textures.classify_texture(f, ["p", "q"], textures.texture_model(f, "k", ["p", "q"], least=0.1), max_distance=1.0, min_margin=0.01)
+    assert [r.class_id for r in good.orderBy("p").collect()] == [1, 1, 2, 3]
