@@ -239,7 +239,7 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], *, key: s
         warnings.warn(f"no rates meet the targets; token shares reached ({told})", stacklevel=2)
     rates = table.sparkSession.createDataFrame([(r["p"], float(v)) for r, v in zip(points, found, strict=True)], "p array<int>, rate double")
     out = table.join(F.broadcast(rates), "p")
-    return out.select(*[F.col(f"rest.`{c}`").alias(c) for c in common.passed((key, *keep), *MADE)], F.col("tokens").alias("n_tokens"), F.transform("p", lambda v: v / F.lit(grid_of(len(domains)))).alias("posterior"), "rate")
+    return out.select(*[F.col(f"rest.{c}").alias(c) for c in common.passed((key, *keep), *MADE)], F.col("tokens").alias("n_tokens"), F.transform("p", lambda v: v / F.lit(grid_of(len(domains)))).alias("posterior"), "rate")
 
 
 def repeated(mixed: DataFrame, *, key: str = "doc_id") -> DataFrame:

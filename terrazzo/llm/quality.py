@@ -84,7 +84,7 @@ def features(docs: DataFrame, *, key: str = "doc_id", text: str = "text", keep:
     )
     left = lambda chars: F.expr(f"cast(length(regexp_replace(_text, '[^{chars}]+', '')) as bigint)")
     counts = windows.select(
-        *[F.col(f"_rest.`{c}`").alias(c) for c in rest],
+        *[F.col(f"_rest.{c}").alias(c) for c in rest],
         F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         left("#*$%&|<>").alias("n_symbols"),

@@ -91,6 +91,39 @@ def test_starts_follow_totals_of_any_bytes(spark):
     assert got == [(i, 195 * i, 195) for i in range(4)]
 
 
+def test_several_shards_null_and_repeated_keys(spark, monkeypatch):
+    monkeypatch.setattr(token_store, "SHARD_IDS", 40)
+    rows = [(None, "first of all"), (None, "another one"), *((7, f"same key {i}") for i in range(9)), *((i * 1000003, "word " * (i % 13)) for i in range(30)), (-5, None), (2**62, "far")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    shards = token_store.write_store(docs, common.vocabulary("byte_bpe_50k.json"), 2)
+    assert shards.agg({"seq": "max"}).first()[0] > 1
+    out = sorted((r.start, r.n_tokens, r.doc_id, r.ids_crc32) for r in token_store.read_store(shards).collect())
+    lib = library()
+    want = {}
+    for k, t in rows:
+        ids = [*lib.encode(t or "", add_special_tokens=False).ids, 2]
+        want.setdefault(k, []).append((len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+    at = 0
+    for start, n, key, crc in out:
+        assert start == at and (n, crc) in want[key]
+        want[key].remove((n, crc))
+        at += n
+    assert not any(want.values())
+    keys = [key for _, _, key, _ in out]
+    assert keys[:2] == [None, None] and keys[2:] == sorted(keys[2:])
+
+
+def test_caches_stay_small_on_unspaced_text():
+    count, codec = byte_bpe.counter(common.vocabulary("byte_bpe_50k.json")), pieces.codec(common.vocabulary("piece_bpe_32k.model"))
+    rng = random.Random(2)
+    for _ in range(30):
+        blob = "".join(rng.choices("ABCDEFabcdef0123456789+/", k=20_000))
+        count(blob)
+        codec.code(blob)
+    for memo in (count.words, count.after_gap, codec.segments, codec.cuts):
+        assert sum(map(len, memo)) + sum(map(len, memo.old)) <= 2 * memo.letters
+
+
 def test_prefix_table_equals_the_library():
     import sentencepiece
 

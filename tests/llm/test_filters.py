@@ -62,6 +62,55 @@ def test_verdicts_match_sql(docs):
     assert quality.assess(docs.limit(0)).count() == 0
 
 
+def test_kept_columns_never_clash(spark):
+    names = ["words", "lines", "hashes", "_text", "n_words", "kept", "spans", "rate", "posterior", "_rest"]
+    one = spark.createDataFrame([(1, GOOD, *range(len(names)))], "doc_id long, text string, " + ", ".join(f"`{n}` int" for n in names))
+    q = quality.assess(one, keep=(*names, "text", "doc_id")).collect()[0].asDict()
+    assert q["words"] == 0 and q["lines"] == 1 and q["hashes"] == 2 and q["text"] == GOOD and q["n_words"] == 68 and q["kept"] is False
+    s = secrets.scan(one, keep=(*names, "text")).collect()[0].asDict()
+    assert s["spans"] == [] and s["words"] == 0 and s["_rest"] == 9
+    m = mixture.mix(one, spark.createDataFrame([], "doc_id long, domain string"), {"a": 1.0}, keep=tuple(names))
+    assert len(set(m.columns)) == len(m.columns) and m.first()["rate"] == 1.0
+    twice = mixture.repeated(m.withColumn("_copy", F.lit(5)).withColumn("_times", F.lit(6)).withColumn("rate", F.lit(2.0)))
+    assert [(r["_copy"], r["_times"]) for r in twice.collect()] == [(5, 6)] * 2
+
+
+def test_very_long_texts(spark):
+    long = " ".join(f"w{k % 5000}" for k in range(120_000)) + ' token = "abcdef123" ' + "0123456789abcdef" * 4000
+    docs = spark.createDataFrame([(1, long), (2, "x" * 300_000)], "doc_id long, text string")
+    q = {r.doc_id: r for r in quality.features(docs).collect()}
+    assert q[1].n_words == 120_004 and q[2].n_words == 1
+    words = long.split()
+    windows = Counter(zip(*(words[k:] for k in range(5)), strict=False))
+    assert q[1].n_repeat_words == len({k + j for k in range(len(words) - 4) if windows[tuple(words[k : k + 5])] > 1 for j in range(5)})
+    got = {r.doc_id: [(s.start, s.rank, s.kind, s.stop) for s in r.spans] for r in secrets.scan(docs).collect()}
+    assert got == {1: brute_spans(long), 2: []}
+
+
+def test_targets_out_of_reach_are_told(spark):
+    docs = spark.createDataFrame([(i, "plain words only here") for i in range(50)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, "a") for i in range(50)], "doc_id long, domain string")
+    with pytest.warns(UserWarning, match="no rates meet the targets"):
+        mixture.mix(docs, labels, {"a": 0.5, "b": 0.5}).count()
+
+
+def test_steps_solve_the_least_squares_problem():
+    """Against the projection onto the targets by a slow active-set search: every start meets reachable targets."""
+    rng = np.random.default_rng(4)
+    p = rng.dirichlet([1.0, 1.0, 1.0], 40)
+    tokens = rng.integers(1, 100, 40).astype(float)
+    share = (p * tokens[:, None]).sum(0) / tokens.sum()
+    for want in (share * [1.1, 0.9, 1.0], share):
+        rates, reached = mixture.fit_rates(p, tokens, want)
+        assert (rates >= 0).all() and np.abs(reached - want).max() < 1e-3
+        # the shortest way to the targets, where no rate is cut at 0
+        mass = p * tokens[:, None] / tokens.sum()
+        gram = p.T @ mass
+        shortest = 1 + p @ np.linalg.solve(gram, want - mass.sum(0))
+        if (shortest > 0).all():
+            assert np.abs(rates - shortest).max() < 0.05
+
+
 def test_em_recovers_accuracies(spark):
     """Votes drawn from known accuracies: the posterior separates the classes and the share is found."""
     rng = np.random.default_rng(3)

@@ -1,8 +1,16 @@
 """The stages of the document pipeline against brute force."""
 
+import hashlib
 import random
+import re
+from collections import Counter
+
+import duckdb
+import numpy as np
+import sentencepiece
 
 import corpus_pipeline
+from terrazzo.llm import common, mixture, quality
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -52,3 +60,70 @@ def test_near_copies_between_the_thresholds_leave(spark):
     got = corpus_pipeline.near_duplicates(spark, documents(spark, rows), "")
     assert got.columns == list(corpus_pipeline.COLUMNS)
     assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(without_near_copies(rows), key=str)
+
+
+def redacted(text):
+    from terrazzo.llm import secrets
+
+    spans = sorted((m.start(), m.end()) for rx, group, least in secrets.RULES.values() for m in re.finditer(rx, text or "", re.ASCII) if len(m.group(group)) >= least)
+    out, at = "", 0
+    for a, b in spans:
+        if a >= at:
+            out += text[at:a] + "[secret]"
+        at = max(at, b)
+    return None if text is None else out + text[at:]
+
+
+def test_run_matches_brute_force_stage_by_stage(spark, tmp_path):
+    """A small corpus through all stages: each against a slow version of its own, on what the slow ones before it kept."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choices("abcdefghijklmno", k=rng.randint(3, 7)))
+    rows = []
+    for i in range(60):
+        text = " ".join(["the", "and", "of", *(word() for _ in range(60))])
+        rows.append((i, text + (" token = abcdef99 and more" if i % 7 == 0 else "")))
+    rows += [(100 + i, rows[i][1] + " one more word") for i in range(5)]
+    rows += [(200, "too short"), (201, None), (202, ""), (203, "### *** %%% " * 30), (None, rows[3][1]), (3, rows[3][1])]
+    docs = documents(spark, rows)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 40, 2)] + [(203, 0, 0)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    verdicts = con.execute(quality.assess_sql()).fetchall()
+    names = [d[0] for d in con.description]
+    good = {(r[names.index("doc_id")], r[names.index("n_words")], r[names.index("word_chars")]) for r in verdicts if r[names.index("kept")]}
+    size = lambda t: (len((t or "").split()), sum(map(len, (t or "").split())))
+    after = [[(i, t) for i, t in rows if (i, *size(t)) in good]]
+    after.append(without_near_copies(after[0]))
+    after.append([(i, redacted(t)) for i, t in after[1]])
+    order = lambda rs: sorted(rs, key=str)
+    table = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for (_, stage), want in zip(corpus_pipeline.STAGES[:3], after, strict=True):
+        table = common.stored(stage(spark, table, str(tmp_path)), "test")
+        assert table.columns == list(corpus_pipeline.COLUMNS)
+        assert order((r.doc_id, r.text) for r in table.collect()) == order(want)
+    mixed = common.stored(corpus_pipeline.mixing(spark, table, str(tmp_path)), "test")
+    told = labels.selectExpr("doc_id", f"{mixture.DOMAIN} as domain")
+    times = Counter()
+    for r in mixture.mix(table, told, mixture.TARGETS).collect():
+        p = np.array(r.posterior)
+        assert abs(p.sum() - 1) < 1e-9 and r.rate >= 0
+        times[r.doc_id] += int(r.rate)
+    found = Counter(r.doc_id for r in mixed.collect())
+    assert set(found) <= {i for i, _ in after[2]} and all(0 <= found[i] - n <= max(1, sum(j == i for j, _ in after[2])) for i, n in times.items())
+    library = sentencepiece.SentencePieceProcessor(model_file=common.vocabulary("piece_bpe_32k.model"))
+    want = []
+    for r in mixed.collect():
+        ids = library.encode(r.text or "")
+        want.append((r.doc_id, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(library.decode(ids).encode()).hexdigest()))
+    got = [tuple(r) for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect()]
+    assert order(got) == order(want)
+
+
+def test_stages_take_an_empty_table(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    empty = documents(spark, [])
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, str(tmp_path)).count() == 0
