@@ -401,7 +401,7 @@ def seam_interpolation(spark, sf_dir):
     return ordered.interpolate(rows, "y", "x").select("y", F.round("x", 6).alias("x"))
 
 
-@query("octant_reports", None)
+@query("octant_reports", f"with {NEAR}, d as (select y, x, sqrt(d) as v from near where rn = 1), c as (select avg(y) as cy, avg(x) as cx from d), t as (select v, degrees(atan2(y - cy, x - cx)) as a from d, c), o as (select v, (round_even(a / 45.0, 0)::int + 8) % 8 as octant, abs(a - 45.0 * round_even(a / 45.0, 0)) as off from t) select octant, count(*) as n, round(quantile_cont(v, 0.5), 6) as median, round(max(v), 6) as largest from o where off < 22.5 group by octant")
 def octant_reports(spark, sf_dir):
     d = classify.classify(px(spark, sf_dir), ["r", "g", "b"], LEGEND)
     return audits.octants(d, "distance").select("octant", "n", F.round("median", 6).alias("median"), F.round("largest", 6).alias("largest"))
@@ -414,7 +414,7 @@ def unanimous_topology(spark, sf_dir):
     return audits.unanimous(v, ["y", "x"], "class_id", 3)
 
 
-@query("patch_overlap", None)
+@query("patch_overlap", f"with {CLS}, cc as (select y, x, class_id, r // 64 * 16 + g // 64 * 4 + b // 64 as colour from cls where class_id > 0), kinds as (select distinct p.class_id as k, p.colour as c0, q.colour as c1, s.colour as c2, t.colour as c3 from cc p join cc q on q.y = p.y and q.x = p.x + 1 and q.class_id = p.class_id join cc s on s.y = p.y + 1 and s.x = p.x and s.class_id = p.class_id join cc t on t.y = p.y + 1 and t.x = p.x + 1 and t.class_id = p.class_id), n as (select k, count(*) as n from kinds group by k), m as (select p.k as a, q.k as b, count(*) as m from kinds p join kinds q using (c0, c1, c2, c3) where p.k < q.k group by p.k, q.k) select p.k as a, q.k as b, coalesce(m, 0) as \"both\", round(coalesce(m, 0) / (p.n + q.n - coalesce(m, 0)), 9) as jaccard from n p join n q on p.k < q.k left join m on m.a = p.k and m.b = q.k")
 def patch_overlap(spark, sf_dir):
     c = cls(spark, sf_dir).select("y", "x", "class_id", (F.floor(F.col("r") / 64) * 16 + F.floor(F.col("g") / 64) * 4 + F.floor(F.col("b") / 64)).alias("colour"))
     return audits.patch_overlap(c, 2).withColumn("jaccard", F.round("jaccard", 9))
@@ -454,7 +454,7 @@ def restart_priority(spark, sf_dir):
     return table(spark, sf_dir, "orders").groupBy(p.alias("priority")).agg(F.count("*").alias("n"))
 
 
-@query("regular_swatches", None)
+@query("regular_swatches", "with w as (select p_brand as legend, p_partkey as top, p_size as size, lead(p_partkey) over (partition by p_brand order by p_partkey) - p_partkey as gap from part), f as (select legend, top, count(*) over six as n, stddev_pop(size) over six / avg(size) over six as cs, stddev_pop(gap) over five / avg(gap) over five as cg from w window six as (partition by legend order by top rows between current row and 5 following), five as (partition by legend order by top rows between current row and 4 following)), g as (select legend, top, round(cs + cg, 9) as score from f where n = 6 and cs <= 2 and cg <= 2) select legend, top, score from (select *, row_number() over (partition by legend order by score, top) as rn from g) where rn = 1")
 def regular_swatches(spark, sf_dir):
     p = table(spark, sf_dir, "part").select(F.col("p_brand").alias("legend"), F.col("p_partkey").alias("top"), F.col("p_size").alias("size"))
     return ordered.regular_runs(p, "legend", "top", "size", run=6, worst=2.0)
@@ -508,10 +508,10 @@ def median_translation(spark, sf_dir):
     return fits.translation(c, ["k"]).select("k", F.round("du", 6).alias("du"), F.round("dv", 6).alias("dv"))
 
 
-@query("degree_labels", None)
+@query("degree_labels", "with t as (select event_id, event_id % 460 as n, event_id % 4 as s from events), d as (select event_id, s, case when n < 10 then null when n > 180 and n >= 400 then n - 300 else n end as n from t) select event_id, case when n <= 180 then (case when s in (1, 3) then -n else n end) end::double as degrees from d")
 def degree_labels(spark, sf_dir):
     t = table(spark, sf_dir, "events").select("event_id", F.concat((F.col("event_id") % 460).cast("string"), F.lit("° "), F.element_at(F.array(*map(F.lit, "NWES")), (F.col("event_id") % 4 + 1).cast("int"))).alias("text"))
-    return t.select("event_id", values.degree_label(F.col("text"), 180).alias("degrees"))
+    return t.select("event_id", values.degree_label(F.col("text"), 180).cast("double").alias("degrees"))
 
 
 _MIRROR = lambda v: f"case when {v} < 0 then -({v}) when {v} > {SIZE - 1} then {2 * SIZE - 2} - ({v}) else {v} end"
@@ -562,7 +562,7 @@ def accepted_words(spark, sf_dir):
     return words.accepted(w)
 
 
-@query("falling_columns", None)
+@query("falling_columns", "with n as (select event_type as page, floor((event_id % 5 * 20 + 4) / 6) as col, event_id as top, round(value, 2) as v from events where value is not null), s as (select *, case when v < lag(v) over (partition by page, col order by top) then 0 else 1 end as s from n), q as (select *, sum(s) over (partition by page, col order by top rows unbounded preceding) as run from s), z as (select page, col, run, count(*) as n, max(v) as first, min(v) as last from q group by page, col, run having count(*) >= 3) select page, n, first, last from (select *, row_number() over (partition by page order by n desc, col, run) as rn from z) where rn = 1")
 def falling_columns(spark, sf_dir):
     w = table(spark, sf_dir, "events").select(F.col("event_type").alias("page"), (F.col("event_id") % 5 * 20).cast("int").alias("left"), F.col("event_id").cast("int").alias("top"), F.lit(8).alias("width"), F.lit(6).alias("height"), F.round("value", 2).cast("string").alias("text"))
     return words.falling_column(w, "page").select("page", "n", "first", "last")
