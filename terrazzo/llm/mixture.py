@@ -91,7 +91,8 @@ class Classifier:
 
 def descend(bits: np.ndarray, truth: np.ndarray, n: int) -> np.ndarray:
     """Weights by gradient descent with momentum on the cross entropy, an intercept last."""
-    x = np.concatenate([bits.astype(np.float32), np.ones((len(bits), 1), np.float32)], 1)
+    x = np.ones((len(bits), bits.shape[1] + 1), np.float32)
+    x[:, :-1] = bits
     y = np.eye(n, dtype=np.float32)[truth]
     w = np.zeros((x.shape[1], n), np.float32)
     w[-1] = np.log(np.maximum(y.mean(0), 1e-6))

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from . import common
 
-TABLES, WIDTH, RECALL = 2, 2.0, 0.95
+TABLES, WIDTH, RECALL = 2, 2.0, 0.89
 BLOCK, QUERIES, SAMPLE = 8192, 2048, 8192
 DRAWS = 512
 REACH = 8  # cells to either side that a projection may be perturbed by
@@ -138,7 +138,7 @@ def build(reps: DataFrame, top: int) -> Index | None:
     if not n:
         return None
     longest = math.sqrt(stats["q"])
-    k = max(4, round(0.5 * math.log2(n)))
+    k = max(4, round(0.6 * math.log2(n)))
     rng = np.random.default_rng(20240229)
     planes, offsets = rng.standard_normal((TABLES, dim + 1, k)), rng.random((TABLES, k)) * WIDTH
     index = Index(planes, offsets, longest, 1.0, min(k - 1, max(1, math.ceil(math.log(max(1, n / BLOCK), 3)))))

@@ -56,7 +56,7 @@ from .components import components
 #: Documents in the sample from which the boundary's costs are estimated, at most about.
 SAMPLE = 8192
 #: Counters of shingles over all documents, and how many of them one row carries.
-COUNTERS, CHUNK = 1 << 20, 1 << 14
+COUNTERS, CHUNK = 1 << 19, 1 << 14
 #: Parts, by hash, in which the lists' entries are counted: shuffle files of one part go before the next.
 PARTS = 4
 #: Costs in rows that are moved: of meeting a member of a list, and of an element in its full check.
@@ -191,15 +191,15 @@ def corpus_counts(docs: DataFrame, text: str, width: int) -> tuple[np.ndarray, d
     total = partial.repartition("chunk").mapInArrow(add, kind)
     with common.freed(docs.sparkSession):
         rows = total.toArrow()
-    counts, sizes = np.zeros(COUNTERS, np.int64), {}
-    for k, blob in zip(rows["chunk"].to_pylist(), rows["blob"].to_pylist(), strict=True):
-        values = np.frombuffer(blob, "<u8").astype(np.int64)
+    counts, sizes = np.zeros(COUNTERS, np.uint32), {}
+    for k, blob in zip(rows["chunk"].to_pylist(), rows["blob"], strict=True):
+        values = np.frombuffer(blob.as_buffer(), "<i8")
         if k >= 0:
-            counts[k * CHUNK : (k + 1) * CHUNK] += values
+            counts[k * CHUNK : (k + 1) * CHUNK] = np.minimum(values, 0xFFFFFFFF)
         else:
             for s, n in values.reshape(-1, 2).tolist():
                 sizes[s] = sizes.get(s, 0) + n
-    return np.minimum(counts, 0xFFFFFFFF).astype(np.uint32), sizes
+    return counts, sizes
 
 
 def plan(docs: DataFrame, key: str, text: str, width: int, percent: int) -> Plan:
@@ -317,8 +317,13 @@ def same_size(a: str, b: str, percent: int) -> str:
     return f"100L * least({a}.n, {b}.n) >= {percent} * greatest({a}.n, {b}.n)"
 
 
+def bits_apart(x: str, y: str) -> str:
+    """SQL: bits in which two arrays of words differ; null where one is null."""
+    return f"aggregate(zip_with({x}, {y}, (p, q) -> bit_count(p ^ q)), 0, (s, c) -> s + c)"
+
+
 def coarse(a: str, b: str) -> str:
-    """SQL: a lower bound of the symmetric difference, by the sketches of fixed size."""
+    """SQL: a lower bound of the symmetric difference, by the sketches of fixed size, written out for the inside of a join."""
     return " + ".join(f"bit_count({a}.sketch[{k}] ^ {b}.sketch[{k}])" for k in range(SKETCH_WORDS))
 
 
@@ -327,7 +332,7 @@ def finer(a: str, b: str) -> str:
     halves = lambda x: f"zip_with(slice({x}, 1, size({x}) div 2), slice({x}, size({x}) div 2 + 1, size({x}) div 2), (p, q) -> p ^ q)"
     fit = lambda x, y: f"case when size({x}) = 2 * size({y}) then {halves(x)} else {x} end"
     x, y = f"{a}.fine", f"{b}.fine"
-    return f"aggregate(zip_with({fit(x, y)}, {fit(y, x)}, (p, q) -> bit_count(p ^ q)), 0, (s, c) -> s + c)"
+    return bits_apart(fit(x, y), fit(y, x))
 
 
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -349,8 +354,8 @@ def sketched(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """(a, b, d) for the pairs that the sketches of both allow to link; d bounds their difference from below."""
     one = pairs.join(sketches.select(F.col("node").alias("a"), F.struct("n", "sketch", "fine").alias("x")), "a")
     two = one.join(sketches.select(F.col("node").alias("b"), F.struct("n", "sketch", "fine").alias("y")), "b")
-    near = two.filter(same_size("x", "y", percent)).filter(f"{coarse('x', 'y')} <= {allowed('x', 'y', percent)}")
-    return near.withColumn("d", F.expr(f"coalesce({finer('x', 'y')}, {coarse('x', 'y')})")).filter(f"d <= {allowed('x', 'y', percent)}").groupBy("a", "b").agg(F.min("d").alias("d"))
+    near = two.filter(same_size("x", "y", percent)).select("a", "b", F.expr(f"coalesce({finer('x', 'y')}, {bits_apart('x.sketch', 'y.sketch')})").alias("d"), F.expr(allowed("x", "y", percent)).alias("most"))
+    return near.filter("d <= most").groupBy("a", "b").agg(F.min("d").alias("d"))
 
 
 def rest(lists: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
@@ -435,6 +440,8 @@ class Groups:
 
     def check(self, pairs: DataFrame) -> None:
         """Merge by pairs (a, b, d) whose sets link: the nearest partner of each first, then what is still apart."""
+        if pairs.isEmpty():
+            return
         first = common.stored(pairs.groupBy("a").agg(F.min(F.struct("d", "b")).alias("m")).select("a", F.col("m.b").alias("b")), "first")
         self.merge(self.links(first))
         self.checked.append(first)
@@ -478,8 +485,7 @@ def join_components(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
         if lists.isEmpty():
             break
         pairs = common.stored(sketched(groups.unchecked(led(lists, seed, percent) if seed else rest(lists, sketches, percent)), sketches, percent), "pairs")
-        if not pairs.isEmpty():
-            groups.check(pairs)
+        groups.check(pairs)
         common.drop(pairs)
     own = groups.of(copies, "node", "component")
     common.drop(*groups.tables)
