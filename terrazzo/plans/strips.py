@@ -414,7 +414,8 @@ def progress_index(spark, sf_dir):
 @query("source_boxes", f"with {STRIP}, m as (select (floor(y * 3 / h))::int as row, (x * 4 // {WIDTH})::int as col, x * 1.3 - 5 as u, y * 0.4 + x * 0.1 - 2 as v from strip, size) select row, col, count(*) as n, greatest(0, floor(min(u)) - 1)::int as lft, greatest(0, floor(min(v)) - 1)::int as top, least(70, ceil(max(u)) + 2)::int as rgt, least(60, ceil(max(v)) + 2)::int as bottom from m where u between 0 and 69 and v between 0 and 59 group by row, col")
 def source_boxes(spark, sf_dir):
     s = strip(spark, sf_dir)
-    m = s.select("y", "x", (F.col("x") * 1.3 - 5).alias("u"), (F.col("y") * 0.4 + F.col("x") * 0.1 - 2).alias("v"))
+    # Decimals, as in the SQL: a place on a whole pixel mustn't fall beside it by a binary fraction.
+    m = s.select("y", "x", F.expr("x * 1.3 - 5").alias("u"), F.expr("y * 0.4 + x * 0.1 - 2").alias("v"))
     grid = [F.floor(F.col("y") * 3 / F.lit(high(s))).cast("int").alias("row"), F.floor(F.col("x") * 4 / WIDTH).cast("int").alias("col")]
     return reports.source_boxes(m, grid, u="u", v="v", width=70, height=60).withColumnsRenamed({"left": "lft", "right": "rgt"})
 

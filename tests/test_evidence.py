@@ -125,3 +125,18 @@ def test_textures_that_look_alike_raise(spark):
         textures.classify_texture(f, ["p", "q"], model, max_distance=1, min_margin=1)
     good = textures.classify_texture(f, ["p", "q"], textures.texture_model(f, "k", ["p", "q"], least=0.1), max_distance=1.0, min_margin=0.01)
     assert [r.class_id for r in good.orderBy("p").collect()] == [1, 1, 2, 3]
+
+
+def test_source_boxes_keep_places_on_whole_pixels(spark, tmp_path):
+    """1.3 * 10 - 5 and 0.4 * y + 0.1 * x - 2 are whole for many cells; binary fractions put some of them beside the pixel."""
+    import duckdb
+
+    from terrazzo.plans import catalog, strips  # noqa: F401
+
+    spark.range(9600).selectExpr("id as event_id", "id % 97 as user_id").write.parquet(str(tmp_path / "events.parquet"))
+    got = catalog.QUERIES["source_boxes"](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"create view events as select * from '{tmp_path}/events.parquet/*.parquet'")
+    want = con.execute(catalog.ORACLES["source_boxes"])
+    names = [d[0] for d in want.description]
+    assert sorted(tuple(r) for r in got.select(*names).collect()) == sorted(want.fetchall())
