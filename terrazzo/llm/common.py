@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Words are maximal runs of anything but these six characters.
 WORD_GAP = "\\x20\\x09-\\x0D"
+#: Bytes of one Arrow batch where batches are kept small.
+BATCH_BYTES = 4 << 20
 TOKENIZER_DIR_HINT = "byte_bpe_50k.json"
 
 
@@ -37,11 +39,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 @contextlib.contextmanager
-def freed(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files of what is executed here go as soon as it is over; the session's setting comes back."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+def held(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A setting for what is executed here; the session's own comes back."""
     before = spark.conf.get(name, None)
-    spark.conf.set(name, "true")
+    spark.conf.set(name, value)
     try:
         yield
     finally:
@@ -51,6 +52,16 @@ def freed(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(name, before)
 
 
+def freed(spark: SparkSession) -> contextlib.AbstractContextManager[None]:
+    """Shuffle files of what is executed here go as soon as it is over."""
+    return held(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
+def small_batches(spark: SparkSession) -> contextlib.AbstractContextManager[None]:
+    """What is executed here hands texts to Python in batches of BATCH_BYTES, however long the texts and large the partitions."""
+    return held(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def stored(df: DataFrame, label: str = "table", *more: DataFrame) -> DataFrame:
     """Write `df`, and `more` of its schema one after another, as Parquet in the shared folder and return a reader.
 

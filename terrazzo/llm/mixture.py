@@ -89,10 +89,17 @@ class Classifier:
         return self.posterior(self.weights[self.present(found)].sum(0) + self.weights[-1])
 
 
-def descend(bits: np.ndarray, truth: np.ndarray, n: int) -> np.ndarray:
-    """Weights by gradient descent with momentum on the cross entropy, an intercept last."""
-    x = np.ones((len(bits), bits.shape[1] + 1), np.float32)
-    x[:, :-1] = bits
+def unpacked(packed: np.ndarray, rows: int = 512) -> Iterator[tuple[slice, np.ndarray]]:
+    """Bits of some packed rows at a time, with their places."""
+    for at in range(0, len(packed), rows):
+        yield slice(at, at + rows), np.unpackbits(packed[at : at + rows], axis=1)
+
+
+def descend(packed: np.ndarray, truth: np.ndarray, n: int) -> np.ndarray:
+    """Weights by gradient descent with momentum on the cross entropy, an intercept last, from rows of packed bits."""
+    x = np.ones((len(packed), 8 * packed.shape[1] + 1), np.float32)
+    for own, bits in unpacked(packed):
+        x[own, :-1] = bits
     y = np.eye(n, dtype=np.float32)[truth]
     w = np.zeros((x.shape[1], n), np.float32)
     w[-1] = np.log(np.maximum(y.mean(0), 1e-6))
@@ -168,10 +175,10 @@ def fit(docs: DataFrame, labels: DataFrame, domains: list[str], key: str, text:
 
     # At most about LABELLED rows of FEATURES bits.
     rows = rows.mapInArrow(features, "fold int, domain int, bits binary").orderBy("bits", "domain", "fold").toArrow()
-    bits = np.unpackbits(np.frombuffer(b"".join(rows["bits"].to_pylist()), np.uint8).reshape(rows.num_rows, -1), axis=1)
+    bits = np.frombuffer(b"".join(rows["bits"].to_pylist()), np.uint8).reshape(rows.num_rows, -1)
     fold, truth = rows["fold"].to_numpy(), rows["domain"].to_numpy()
     out.weights = descend(bits[fold > 0], truth[fold > 0], n).astype(np.float64)
-    z = bits[fold == 0] @ out.weights[:-1] + out.weights[-1]
+    z = np.concatenate([np.zeros((0, n)), *(own @ out.weights[:-1] + out.weights[-1] for _, own in unpacked(bits[fold == 0]))])
     if len(z):
         loss = {}
         for t in TEMPERATURES:
@@ -184,21 +191,22 @@ def fit(docs: DataFrame, labels: DataFrame, domains: list[str], key: str, text:
 
 
 def posteriors(docs: DataFrame, model: Classifier, domains: list[str], key: str, text: str, tokens: str | None, keep: tuple[str, ...]) -> DataFrame:
-    """(rest, tokens, p) of every row; p: GRID-ths by domain."""
+    """(rest, tokens, p) of every row; p: GRID-ths by domain. Python sees the text alone, once; what passes through stays in Spark."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     rest = F.struct(*[F.col(c) for c in common.passed((key, *keep), *MADE)]).alias("rest")
     rows = common.spread(docs.select(F.col(text).alias("text"), (F.col(tokens).cast("long") if tokens else F.lit(-1).cast("long")).alias("tokens"), rest))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            size, p = [], []
-            for x, given in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                found = buckets(x.as_py())
-                size.append(len(found) if given is None or given < 0 else given)
-                p.append(rounded(sent.value.predict(found)))
-            yield pa.RecordBatch.from_arrays([pa.array(size, pa.int64()), pa.array([v.tolist() for v in p], pa.list_(pa.int32())), batch.column(2)], names=["tokens", "p", "rest"])
+    @F.arrow_udf("struct<tokens: bigint, p: array<int>>")
+    def judged(texts: pa.Array, tokens: pa.Array) -> pa.Array:
+        size, p = np.zeros(len(texts), np.int64), np.zeros((len(texts), len(domains)), np.int32)
+        for i, (x, given) in enumerate(zip(texts, tokens.to_pylist(), strict=True)):
+            found = buckets(x.as_py())
+            size[i] = len(found) if given is None or given < 0 else given
+            p[i] = rounded(sent.value.predict(found))
+        lists = pa.ListArray.from_arrays(np.arange(0, p.size + 1, len(domains), dtype=np.int32), p.ravel())
+        return pa.StructArray.from_arrays([pa.array(size), lists], names=["tokens", "p"])
 
-    return rows.mapInArrow(run, f"tokens long, p array<int>, rest {rows.schema['rest'].dataType.simpleString()}")
+    return rows.select(judged("text", "tokens").alias("own"), "rest").select("own.tokens", "own.p", "rest")
 
 
 def fit_rates(p: np.ndarray, tokens: np.ndarray, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -227,7 +235,8 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], *, key: s
     """(key, *keep, n_tokens, posterior, rate) of every row; `labels` has the key and a `domain` column."""
     domains = list(targets)
     model = fit(docs, labels, domains, key, text)
-    table = common.stored(posteriors(docs, model, domains, key, text, tokens, keep), "posteriors")
+    with common.small_batches(docs.sparkSession):
+        table = common.stored(posteriors(docs, model, domains, key, text, tokens, keep), "posteriors")
     grid = grid_of(len(domains))
     # At most MOST_POINTS rows, whatever the corpus.
     points = table.groupBy("p").agg(F.sum("tokens").alias("tokens")).orderBy("p").collect()

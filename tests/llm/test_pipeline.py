@@ -127,3 +127,29 @@ def test_stages_take_an_empty_table(spark, tmp_path):
     empty = documents(spark, [])
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, str(tmp_path)).count() == 0
+
+
+def test_mixing_hands_texts_to_python_once_and_gets_none_back(spark, tmp_path):
+    """Kept columns with the texts stay in Spark, so a task's memory for Python doesn't grow with what passes through."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rng = random.Random(3)
+    rows = [(i, " ".join("".join(rng.choices(letters, k=6)) for _ in range(300))) for i in range(200)]
+    docs = documents(spark, rows)
+    labels = spark.createDataFrame([(i, "clean" if i % 2 else "rough") for i in range(0, 200, 3)], "doc_id long, domain string")
+    domains = list(mixture.TARGETS)
+    with common.held(spark, "spark.sql.adaptive.enabled", "false"):
+        model = mixture.fit(docs, labels, domains, "doc_id", "text")
+        judged = mixture.posteriors(docs, model, domains, "doc_id", "text", None, corpus_pipeline.COLUMNS)
+        plan = judged._jdf.queryExecution().executedPlan()
+        got = judged._jdf.queryExecution().toRdd().count()
+    assert got == len(rows)
+    assert "MapInArrow" not in plan.toString()
+
+    def metrics(node):
+        own = node.metrics()
+        found = [(own.apply(k).value()) for k in ("pythonDataSent", "pythonDataReceived") if own.contains(k)]
+        kids = node.children()
+        return [found] * bool(found) + [m for k in range(kids.size()) for m in metrics(kids.apply(k))]
+
+    (sent, received), size = metrics(plan)[0], sum(len(t) for _, t in rows)
+    assert size < sent < 1.5 * size and received < size / 10
