@@ -421,13 +421,13 @@ class Groups:
         """Join the components that links (a, b) connect: a graph of components only."""
         joined = self.of(self.of(links, "a", "x"), "b", "y").filter("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b"))
         joined = common.stored(joined.distinct(), "joined")
-        if joined.isEmpty():
+        many = joined.count()
+        if not many:
             return
-        moved = components(joined).select(F.col("node").alias("old"), F.col("component").alias("new"))
-        moved = common.stored(moved.distinct(), "moved")
-        # A component's own name is a node too.
-        known = self.found.select("node", "component").union(moved.select("old", "old")).distinct()
-        now = known.join(moved, F.col("component") == F.col("old"), "left").select("node", F.coalesce("new", "component").alias("component")).distinct()
+        moved = components(joined, many).select(F.col("node").alias("old"), F.col("component").alias("new"))
+        # A component's own name is a node too; it may come twice, with one component.
+        known = self.found.select("node", "component").union(moved.select("old", "old"))
+        now = known.join(moved, F.col("component") == F.col("old"), "left").select("node", F.coalesce("new", "component").alias("component"))
         before, self.found = self.found, common.stored(now.groupBy("node").agg(F.min("component").alias("component")), "found")
         common.drop(joined, moved, before)
 

@@ -399,3 +399,20 @@ def test_unclosed_quotes_take_linear_time():
 
 def test_deep_pages_take_linear_time():
     assert main_text.Page("<div>" * 5000 + "deep" + "</div>" * 5000).main_text() == "deep"
+
+
+def test_small_and_large_graphs_have_the_same_components(spark, monkeypatch):
+    """Chains, rings and stars with negative ids, at once on the driver and by stars; few edges take no plan of their own but the reading."""
+    from terrazzo.llm import components
+
+    edges = [(k + 1, k) for k in range(-30, 30)] + [(100 + k, 100 + (k + 3) % 11) for k in range(11)] + [(200, 200 + k) for k in range(1, 9)] + [(5, 5)]
+    table = spark.createDataFrame(edges, "a long, b long")
+    rounds = []
+    star = components.large_star
+    monkeypatch.setattr(components, "large_star", lambda e: rounds.append(1) or star(e))
+    small = {r.node: r.component for r in components.components(table, len(edges)).collect()}
+    assert not rounds
+    large = {r.node: r.component for r in components.components(table, components.SMALL + 1).collect()}
+    assert rounds and small == large and small == {**{k: -30 for k in range(-30, 31)}, **{100 + k: 100 for k in range(11)}, **{200 + k: 200 for k in range(9)}}
+    names = spark.createDataFrame([("b", "a"), ("c", "b"), ("x", "y")], "a string, b string")
+    assert {tuple(r) for r in components.components(names, 3).collect()} == {("a", "a"), ("b", "a"), ("c", "a"), ("x", "x"), ("y", "x")}
