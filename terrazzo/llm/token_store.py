@@ -38,6 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,6 +48,11 @@ from .byte_bpe import PRETOKEN, byte_letters, chunks
 
 MAGIC = b"TZIDS\x01\0\0"
 SHARD_IDS = 2_000_000
+#: White space beside a space, or a space at an end, in Arrow's patterns: such texts are cut one by one.
+_SPACES = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+UNEVEN = f" [{_SPACES}]|[{_SPACES}] |^ | $"
+#: Bytes of text whose parts are told apart at once.
+PORTION = 16 << 20
 
 
 class EliasFano:
@@ -139,7 +145,8 @@ class Encoder:
 
     A text without special strings is cut at its even gaps, which no pretoken
     crosses. The library's model encodes each distinct pretoken once, for as long as
-    the caches hold it; texts with special strings go to the library whole.
+    the caches hold it; texts with special strings go to the library whole. Of many
+    texts at once, distinct parts are found in Arrow and looked up once.
     """
 
     def __init__(self, path: str):
@@ -158,12 +165,16 @@ class Encoder:
 
     def encode_pretoken(self, word: str) -> bytes:
         spelt = word.encode().decode("latin-1").translate(self.letters)
-        return b"".join([self.packed[t.id] for t in self.tokenize(spelt)])
+        return self.encode_spelt(spelt)
+
+    def encode_spelt(self, spelt: str) -> bytes:
+        packed, found = self.packed, self.tokenize(spelt)
+        return packed[found[0].id] if len(found) == 1 else b"".join([packed[t.id] for t in found])
 
     def encode_after_gap(self, part: str) -> bytes:
         """Ids of a space and `part`; letters alone, or before one mark, need no pattern."""
         if part.isalpha():
-            return self.encode_pretoken(" " + part)
+            return self.encode_spelt(self.letters[32] + part) if part.isascii() else self.encode_pretoken(" " + part)
         if part[-1:] in ".,;:!?" and part[:-1].isalpha():
             return self.after_gap[part[:-1]] + self.words[part[-1]]
         return b"".join(map(self.words.__getitem__, self.find(" " + part)))
@@ -173,7 +184,36 @@ class Encoder:
         if any(s in text for s in self.specials):
             return b"".join([self.packed[i] for i in self.library.encode(text, add_special_tokens=False).ids])
         first, rest = chunks(text)
-        return b"".join(map(self.words.__getitem__, self.find(first))) + b"".join(map(self.after_gap.__getitem__, rest))
+        return self.start(first) + b"".join(map(self.after_gap.__getitem__, rest))
+
+    def start(self, first: str) -> bytes:
+        return b"".join(map(self.words.__getitem__, self.find(first)))
+
+    def many(self, texts: pa.StringArray) -> Iterator[bytes]:
+        """The same for each text in order, some megabytes of them at a time; null: none."""
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < len(texts):
+            end = max(at + 1, int(sizes.searchsorted((sizes[at - 1] if at else 0) + PORTION, side="right")))
+            yield from self.portion(pc.fill_null(texts[at:end], ""))
+            at = end
+
+    def portion(self, texts: pa.StringArray) -> list[bytes]:
+        odd = pc.match_substring_regex(texts, UNEVEN)
+        for s in self.specials:
+            odd = pc.or_(odd, pc.match_substring(texts, s))
+        lists = pc.split_pattern(texts.filter(pc.invert(odd)), " ")
+        cuts, coded = lists.offsets.to_numpy() - lists.offsets[0].as_py(), lists.flatten().dictionary_encode()
+        parts, places = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy().copy()
+        # The first part of a text has no space before it.
+        firsts = [parts[i] for i in places[cuts[:-1]].tolist()]
+        places[cuts[:-1]] = np.arange(len(parts), len(parts) + len(firsts))
+        codes = pa.array([*self.after_gap.all(parts), *map(self.start, firsts)], pa.binary())
+        offsets = np.concatenate([[0], np.cumsum(pc.binary_length(codes).to_numpy(zero_copy_only=False)[places], dtype=np.int64)])
+        taken = codes.take(pa.array(places)).buffers()[2]
+        bounds, data = offsets[cuts].tolist(), memoryview(taken) if taken else b""
+        even = iter([bytes(data[a:b]) for a, b in zip(bounds, bounds[1:])])
+        return [self(x.as_py()) if o else next(even) for x, o in zip(texts, odd.to_pylist(), strict=True)]
 
 
 @functools.lru_cache(maxsize=2)
@@ -211,8 +251,7 @@ def write_store(docs: DataFrame, vocabulary: str, end_id: int, *, key: str = "do
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in values], names=["part", "seq", "part_start", "ids", "nulls", "first", "keys", "image"])
 
         for batch in batches:
-            for k, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = encode(text.as_py() or "")
+            for k, ids in zip(batch.column(0).to_pylist(), encode.many(batch.column(1)), strict=True):
                 keys.append(k)
                 runs.append(ids + tail)
                 held += len(ids) // encode.width + 1

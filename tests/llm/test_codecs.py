@@ -146,3 +146,26 @@ def test_piece_query_defines_every_row(spark, docs):
     assert out.count() == docs.count() and None in by_id
     full = pieces.encode_decode(docs, common.vocabulary("piece_bpe_32k.model")).filter("doc_id = 1").first()
     assert full.decoded == "a" and full.n_tokens == len(full.ids)
+
+
+def test_many_texts_at_once_match_the_library_and_look_parts_up_once(monkeypatch):
+    """Even and uneven gaps, Unicode's white space, special strings, nulls and slices; a part that comes back costs no lookup of its own."""
+    import pyarrow as pa
+
+    from terrazzo.llm import common, token_store
+
+    encode = token_store.Encoder(common.vocabulary("byte_bpe_50k.json"))
+    rng = random.Random(8)
+    pieces = [" ", "  ", "\n", " \t", "　", "\xa0", "\x85", "\x1c", "\x0b", "​", "é", "日本", "don't", "x", "1,", "a.b", "<|endoftext|>", "\U0001f642", "foo", "Bar;", " word", " word"]
+    texts = [None, "", " ", "  ", *("".join(rng.choices(pieces, k=rng.randrange(14))) for _ in range(3000))]
+    want = [b"".join([encode.packed[i] for i in encode.library.encode(t or "", add_special_tokens=False).ids]) for t in texts]
+    for portion in (64, 1 << 24):
+        monkeypatch.setattr(token_store, "PORTION", portion)
+        assert list(encode.many(pa.array(texts, pa.string()))) == want
+        assert list(encode.many(pa.array(texts, pa.string())[7:300])) == want[7:300]
+    assert list(encode.many(pa.array([], pa.string()))) == []
+    asked = []
+    monkeypatch.setattr(encode, "after_gap", type("Told", (common.Memo,), {"all": lambda self, keys: asked.extend(keys) or common.Memo.all(self, keys)})(encode.encode_after_gap, 100))
+    list(encode.many(pa.array(["every word here " * 500 + "ends"] * 20)))
+    assert sorted(asked) == ["ends", "every", "here", "word"]
+    assert len(encode.after_gap) <= 100
