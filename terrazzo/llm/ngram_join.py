@@ -18,9 +18,12 @@ Neither changes the result: any order and any boundary give the same links.
 
 A list is not multiplied out. Lists are split by size bands, so that members can
 link by size. Each list compares its members with one leader; links merge
-components; lists whose members are in one component are done. Two such rounds
-are followed by an exact one: members outside a list's main component meet all
-others that are still in another component, long lists dealt out to several tasks.
+components; lists whose members are in one component are done. The leader is the
+member with the fewest prefix elements of its own: among copies that were each
+altered by themselves, nearly all that link with any member link with that one. A
+second round takes the leader outside the list's main component. They are followed
+by an exact one: members outside a list's main component meet all others that are
+still in another component, long lists dealt out to several tasks.
 
 What meets is checked in three steps. Parity sketches bound the symmetric
 difference from below: 1024 bits within the join, then one bit a shingle, so that
@@ -343,9 +346,17 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return two.select("a", "b", F.size("x").cast("long").alias("s"), F.size("y").alias("t"), common_size.alias("i")).filter(f"100 * i >= {percent} * (s + t - i)").select("a", "b").distinct()
 
 
-def led(lists: DataFrame, seed: int, percent: int) -> DataFrame:
-    """Each list's members against one member, its leader."""
-    heads = lists.groupBy("h", "band").agg(F.min(F.struct(F.xxhash64(F.lit(seed), "node").alias("at"), "node", "n", "component")).alias("head"))
+def mains(lists: DataFrame) -> DataFrame:
+    """(h, band, main, apart): each list's component of most members, and the members outside it."""
+    sizes = lists.groupBy("h", "band", "component").agg(F.count("*").alias("c"))
+    main = sizes.groupBy("h", "band").agg(F.max(F.struct("c", "component")).alias("top"), F.sum("c").alias("all"))
+    return main.select("h", "band", F.col("top.component").alias("main"), (F.col("all") - F.col("top.c")).alias("apart"))
+
+
+def led(lists: DataFrame, percent: int, *, outside: bool) -> DataFrame:
+    """Each list's members against one member, its leader: the least alone of all, or of those outside the main component."""
+    choice = lists.join(mains(lists), ["h", "band"]).filter("component <> main") if outside else lists
+    heads = choice.groupBy("h", "band").agg(F.min(F.struct("alone", F.xxhash64("node").alias("at"), "node", "n", "component")).alias("head"))
     pairs = lists.alias("m").join(heads.alias("l"), ["h", "band"]).filter("m.component <> l.head.component").filter(same_size("m", "l.head", percent))
     return pairs.select(F.col("m.node").alias("a"), F.col("l.head.node").alias("b")).distinct()
 
@@ -361,9 +372,7 @@ def sketched(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
 def rest(lists: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """Members outside a list's main component against all members of other components; long lists are dealt out."""
     lists = common.stored(lists.join(sketches.select("node", "sketch"), "node"), "rest")
-    sizes = lists.groupBy("h", "band", "component").agg(F.count("*").alias("c"))
-    main = sizes.groupBy("h", "band").agg(F.max(F.struct("c", "component")).alias("top"), F.sum("c").alias("all"))
-    main = main.select("h", "band", F.col("top.component").alias("main"), F.ceil((F.col("all") - F.col("top.c")) / DEAL).cast("int").alias("deals"))
+    main = mains(lists).withColumn("deals", F.ceil(F.col("apart") / DEAL).cast("int"))
     told = lists.join(main, ["h", "band"])
     few = told.filter("component <> main").withColumn("deal", F.pmod(F.xxhash64("node"), F.col("deals")).cast("int"))
     every = told.withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("deals") - 1)))
@@ -393,6 +402,12 @@ def unlike(lists: DataFrame) -> DataFrame:
     return lists.join(one, ["h", "band"])
 
 
+def loneliness(lists: DataFrame, percent: int) -> DataFrame:
+    """(node, alone): elements of a node's prefix that no other node lists; each shared one is in the lists of two bands."""
+    prefix = F.expr(f"first(n) - ({percent}L * first(n) + 99) div 100 + 1")
+    return lists.groupBy("node").agg((prefix - F.count("*") / 2).alias("alone"))
+
+
 class Groups:
     """Components so far, and the full sets by which pairs are checked; each is read from the texts once."""
 
@@ -476,15 +491,15 @@ def join_components(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
         repeated = part.groupBy("h").agg(F.count("*").alias("c")).filter("c > 1").select("h")
         parts.append(part.join(repeated, "h").select("h", "node", "n", F.explode(F.array(band, band + 1)).alias("band")))
     short = common.stored(parts[0], "short", *parts[1:])
-    lists = common.stored(unlike(short), "lists")
+    lists = common.stored(unlike(short).join(loneliness(short, percent), "node"), "lists")
     common.drop(short)
-    for seed in (1, 2, 0):
+    for outside in (False, True, None):
         # A list that is in one component stays so: each round goes on with the open ones.
-        before, lists = lists, common.stored(of_two(groups.of(lists.select("h", "band", "node", "n"), "node", "component")), "open")
+        before, lists = lists, common.stored(of_two(groups.of(lists.select("h", "band", "node", "n", "alone"), "node", "component")), "open")
         common.drop(before)
         if lists.isEmpty():
             break
-        pairs = common.stored(sketched(groups.unchecked(led(lists, seed, percent) if seed else rest(lists, sketches, percent)), sketches, percent), "pairs")
+        pairs = common.stored(sketched(groups.unchecked(rest(lists, sketches, percent) if outside is None else led(lists, percent, outside=outside)), sketches, percent), "pairs")
         groups.check(pairs)
         common.drop(pairs)
     own = groups.of(copies, "node", "component")

@@ -77,6 +77,30 @@ def test_components_match_brute_force(spark, monkeypatch, width, percent, bounda
     assert all(sizes[i] == len(word_sets(t, width)) for i, t in rows)
 
 
+def test_a_large_group_of_near_copies_hardly_reaches_the_exact_round(spark, monkeypatch):
+    rng = random.Random(5)
+    base, rows = [f"w{k}" for k in range(150)], []
+    for i in range(240):
+        copy = list(base)
+        for place in rng.sample(range(150), 1 + i % 4):
+            copy[place] = f"own{i}x{place}"
+        rows.append((i, " ".join(copy)))
+    met, rest = [], ngram_join.rest
+
+    def counted(*args):
+        pairs = rest(*args)
+        met.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(ngram_join, "rest", counted)
+    monkeypatch.setattr(ngram_join, "cheapest_boundary", lambda *_: 1)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in ngram_join.join_components(docs, width=5, percent=80).collect()}
+    assert got == brute_components(rows, 5, 80)
+    assert 1 < len(set(got.values())) < len(rows) // 2
+    assert len(met) == 1 and met[0] < len(rows), met
+
+
 def test_both_halves_find_links_and_costs_choose_between(spark):
     rng = random.Random(3)
     words = [f"w{k}" for k in range(5000)]
