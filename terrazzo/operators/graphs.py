@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import written
+from ..storage import dealt, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -24,8 +24,8 @@ def components(edges: DataFrame) -> DataFrame:
         seen = state
         both = now.union(now.select("b", "a"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
+        large = both.filter("b > a").join(dealt(least), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
         down = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(down, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(down.select("a", F.col("m").alias("b")))
+        small = large.join(dealt(down), "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(down.select("a", F.col("m").alias("b")))
         now = written(small.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    return nodes.join(now.select(F.col("a").alias("node"), F.col("b").alias("component")), "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+    return nodes.join(dealt(now.select(F.col("a").alias("node"), F.col("b").alias("component"))), "node", "left").select("node", F.coalesce("component", "node").alias("component"))

@@ -6,9 +6,12 @@ of them is decided by one row a component.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import dealt
 from .completion import nearest_fill
 from .regions import CELL, component_stats, components
 from .stencils import dilated, frames
@@ -162,16 +165,31 @@ def enclosed_islands(land: DataFrame, mainland: DataFrame, height: int, width: i
     return edge.filter(F.col("cx") <= F.col("edge") + max(2.0, 0.006 * width)).select("label")
 
 
-def exterior(line: DataFrame, height: int, width: int) -> DataFrame:
-    """Cells off a line that reach the frame by steps to the four sides."""
-    grid = line.sparkSession.range(height).select(F.col("id").cast("int").alias("y"), F.explode(F.sequence(F.lit(0), F.lit(width - 1))).alias("x"))
-    return shaped(grid.join(line.select(*CELL), CELL, "left_anti"), touches(height, width), 4).select(*CELL)
+def within(cells: DataFrame, mask: DataFrame, reach: float) -> DataFrame:
+    """The cells within `reach` of the mask: a cell's square of side `reach` meets the mask's cells in it and in the eight around it."""
+    side = max(1, math.ceil(reach))
+    square = lambda c, k=0: F.floor(F.col(c) / side) + k
+    near = mask.select(F.col("y").alias("ky"), F.col("x").alias("kx"))
+    for c in "yx":
+        near = near.withColumn(f"b{c}", F.explode(F.sequence(square(f"k{c}", -1), square(f"k{c}", 1))))
+    d2 = (F.col("y") - F.col("ky")) * (F.col("y") - F.col("ky")) + (F.col("x") - F.col("kx")) * (F.col("x") - F.col("kx"))
+    there = (F.col("cy") == F.col("by")) & (F.col("cx") == F.col("bx")) & (d2 <= reach * reach)
+    return cells.select(*CELL, square("y").alias("cy"), square("x").alias("cx")).join(dealt(near), there, "left_semi").select(*CELL)
+
+
+def exterior(line: DataFrame, height: int, width: int, grid: DataFrame | None = None) -> DataFrame:
+    """Cells off a line that reach the frame by steps to the four sides; a picture with gaps has only the cells of `grid`."""
+    if grid is None:
+        grid = line.sparkSession.range(height).select(F.col("id").cast("int").alias("y"), F.explode(F.sequence(F.lit(0), F.lit(width - 1))).alias("x"))
+    else:
+        grid = grid.select(*CELL).distinct()
+    return shaped(grid.join(dealt(line.select(*CELL)), CELL, "left_anti"), touches(height, width), 4).select(*CELL)
 
 
-def snapped_water(seed: DataFrame, eligible: DataFrame, line: DataFrame, height: int, width: int, *, reach: float = 40.0) -> DataFrame:
-    """Eligible cells outside a shoreline and within `reach` of a named water's cells."""
-    open_side = exterior(line, height, width).join(eligible.select(*CELL), CELL, "left_semi")
-    return distance_to(open_side, seed).filter(F.col("d2") <= reach * reach).select(*CELL)
+def snapped_water(seed: DataFrame, eligible: DataFrame, line: DataFrame, height: int, width: int, *, reach: float = 40.0, grid: DataFrame | None = None) -> DataFrame:
+    """Eligible cells outside a shoreline and within `reach` of a named water's cells; steps go over `grid`, else over the whole frame."""
+    open_side = exterior(line, height, width, grid).join(dealt(eligible.select(*CELL)), CELL, "left_semi")
+    return within(open_side, seed, reach)
 
 
 def constrained_water(seed: DataFrame, interior: DataFrame, coverage: DataFrame, *, reach: float, least: float) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..storage import written
+from ..storage import dealt, written
 from . import graphs
 
 CELL = ["y", "x"]
@@ -41,9 +41,9 @@ def components(cells: DataFrame, connectivity: int = 8, *, same: str | None = No
     state = written(state.withColumn("id", F.last("_start", True).over(row)).drop("_start"))
     steps = F.explode(F.array(*[F.lit(dx) for dx in ((0,) if connectivity == 4 else (-1, 0, 1))])).alias("dx")
     below = state.select("y", "x", *keep, "id", steps).select((F.col("y") + 1).alias("y"), (F.col("x") + F.col("dx")).alias("x"), *keep, F.col("id").alias("a"))
-    edges = written(below.join(state.select(*CELL, *keep, F.col("id").alias("b")), [*CELL, *keep]).select("a", "b").distinct())
+    edges = written(below.join(dealt(state.select(*CELL, *keep, F.col("id").alias("b"))), [*CELL, *keep]).select("a", "b").distinct())
     found = graphs.components(edges).select(F.col("node").alias("id"), "component")
-    return state.join(found, "id", "left").select(*CELL, *keep, F.coalesce("component", "id").alias("label"))
+    return state.join(dealt(found), "id", "left").select(*CELL, *keep, F.coalesce("component", "id").alias("label"))
 
 
 def component_stats(labelled: DataFrame, by: list[str] | None = None) -> DataFrame:

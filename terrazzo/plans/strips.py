@@ -129,7 +129,7 @@ _SEED = "x = 45 and y % 50 < 10"
 @query("snapped_water", f"with recursive {STRIP}, {_FLOOD.format(line='x = 30 or (y % 40 = 20 and x between 5 and 60)', right=WIDTH - 1)} select distinct e.y, e.x from ext e join strip s on s.y = e.y and s.x = e.x and s.class_id in (1, 2, 3) join strip t on {_SEED.replace('x', 't.x').replace('y', 't.y')} and pow(t.y - e.y, 2) + pow(t.x - e.x, 2) <= 64")
 def snapped_water(spark, sf_dir):
     s = strip(spark, sf_dir)
-    return masks.snapped_water(s.filter(_SEED), s.filter("class_id in (1, 2, 3)"), s.filter("x = 30 or (y % 40 = 20 and x between 5 and 60)"), high(s), WIDTH, reach=8.0).join(s.select("y", "x"), ["y", "x"], "left_semi")
+    return masks.snapped_water(s.filter(_SEED), s.filter("class_id in (1, 2, 3)"), s.filter("x = 30 or (y % 40 = 20 and x between 5 and 60)"), high(s), WIDTH, reach=8.0, grid=s)
 
 
 @query("constrained_water", f"with {STRIP} select distinct s.y, s.x from strip s join strip t on {_SEED.replace('x', 't.x').replace('y', 't.y')} and pow(t.y - s.y, 2) + pow(t.x - s.x, 2) <= 36 where s.class_id > 0 and (s.r / 255.0) >= 0.25")

@@ -45,3 +45,8 @@ def written(df: DataFrame) -> DataFrame:
     with freed(spark):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """`df` as one side of a join by key that must not be broadcast: cells pack so well that Spark takes files of millions of rows for small."""
+    return df.hint("merge")

@@ -140,3 +140,34 @@ def test_source_boxes_keep_places_on_whole_pixels(spark, tmp_path):
     want = con.execute(catalog.ORACLES["source_boxes"])
     names = [d[0] for d in want.description]
     assert sorted(tuple(r) for r in got.select(*names).collect()) == sorted(want.fetchall())
+
+
+def snapped(spark, folder, ids):
+    """Rows of snapped_water and of its SQL on events of these ids."""
+    import duckdb
+
+    from terrazzo.plans import catalog, strips  # noqa: F401
+
+    ids.selectExpr("id as event_id", "id * 7919 % 1500 as user_id").write.parquet(f"{folder}/events.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view events as select * from '{folder}/events.parquet/*.parquet'")
+    want = con.execute(catalog.ORACLES["snapped_water"]).fetchall()
+    return sorted((r.y, r.x) for r in catalog.QUERIES["snapped_water"](spark, str(folder)).collect()), sorted(want)
+
+
+def test_snapped_water_broadcasts_no_cells(spark, tmp_path):
+    """Cells pack into small files; what a join broadcasts is bounded here as the driver's memory bounds it on large tables."""
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "1500k")
+    try:
+        got, want = snapped(spark, tmp_path, spark.range(40000))
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")
+    assert got == want and got
+
+
+def test_snapped_water_steps_over_no_gaps(spark, tmp_path):
+    """Cells without an event can't be crossed: what they shut in isn't outside the shoreline."""
+    y, x = "id div 64 % 50", "id % 64"
+    shut = f"{y} between 2 and 8 and {x} in (40, 50) or {y} in (2, 8) and {x} between 40 and 50"
+    got, want = snapped(spark, tmp_path, spark.range(6400).filter(f"not ({shut})"))
+    assert got == want and got
